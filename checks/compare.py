@@ -11,6 +11,7 @@ from decimal import Decimal
 
 import duckdb
 
+import checks.streams  # noqa: F401  (registers the streaming queries)
 from checks.oracle import ORACLE
 from checks.queries import QUERIES
 from parcelflow.session import build_session

@@ -7,6 +7,8 @@ derivations in SQL.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +22,24 @@ FEED_WAIT_MS = 6 * times.HOUR_MS
 FEED_STATES = ("60010", "60020", "60030", "60040", "60050", "60060", "60070", "60080", "60999")
 
 
+# Layout of the given tables, stated so that reading one starts no job to infer it.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text(c: Column | str) -> Column:
@@ -237,15 +255,37 @@ def truck_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.groupBy(F.col("p_brand").alias("id")).agg(F.min("p_type").alias("model_name"))
 
 
-def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "base_organ": organs(spark, sf_dir),
-        "base_region_info": regions(spark, sf_dir),
-        "base_dic": dictionary(spark, sf_dir),
-        "truck_info": trucks(spark, sf_dir),
-        "truck_model": truck_models(spark, sf_dir),
+class Dimensions(Mapping[str, DataFrame]):
+    """All dimensions by name, each put together when asked for."""
+
+    MAKERS = {
+        "base_organ": organs,
+        "base_region_info": regions,
+        "base_dic": dictionary,
+        "truck_info": trucks,
+        "truck_model": truck_models,
     }
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._source = (spark, sf_dir)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.MAKERS[name](*self._source)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.MAKERS)
+
+    def __len__(self) -> int:
+        return len(self.MAKERS)
+
+
+CONFIG = "source_table STRING, sink_table STRING, sink_family STRING, sink_columns STRING, sink_pk STRING, foreign_keys STRING"
+
+
+def buyer_config(spark: SparkSession) -> DataFrame:
+    """Purchases as a dimension with one row per user."""
+    return spark.createDataFrame([("purchase", "dim_buyer", None, "user_id,event_id,value", "user_id", None)], CONFIG)
+
 
 def routing_config(spark: SparkSession) -> DataFrame:
     """Which kinds of event are dimensions, and which of their columns are kept."""
@@ -253,8 +293,7 @@ def routing_config(spark: SparkSession) -> DataFrame:
         ("click", "dim_click", "", "event_id,user_id", "event_id", "user_id"),
         ("purchase", "dim_purchase", "wide", "event_id,user_id,value", "event_id", "user_id,sort_time"),
     ]
-    columns = "source_table STRING, sink_table STRING, sink_family STRING, sink_columns STRING, sink_pk STRING, foreign_keys STRING"
-    return spark.createDataFrame(rows, columns)
+    return spark.createDataFrame(rows, CONFIG)
 
 
 # --- facts taken straight from the tables -----------------------------------------------------

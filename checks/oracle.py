@@ -235,7 +235,7 @@ SELECT event_id, sort_ms FROM feed WHERE op = 'u' AND has_before AND b_sort_ms I
     "changed_keys": f"""WITH {FEED}, updates AS (SELECT * FROM feed WHERE op = 'u' AND event_type IN ('click', 'purchase'))
 SELECT 'dim_' || event_type AS sink_table, 'event_id' AS key_name, CAST(event_id AS VARCHAR) AS key_value FROM updates
 UNION ALL
-SELECT 'dim_purchase', 'user_id', CAST(coalesce(b_user_id, user_id) AS VARCHAR) FROM updates WHERE event_type = 'purchase'
+SELECT 'dim_' || event_type, 'user_id', CAST(coalesce(b_user_id, user_id) AS VARCHAR) FROM updates
 UNION ALL
 SELECT 'dim_purchase', 'sort_time', CAST(CASE WHEN has_before THEN b_sort_ms ELSE sort_ms END AS VARCHAR)
 FROM updates WHERE event_type = 'purchase'""",
@@ -357,6 +357,21 @@ SELECT CAST(c_custkey AS VARCHAR) AS id, md5(c_name) AS passwd,
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_partkey""",
 }
 
+ORACLE["stream_order_cargo"] = LIFECYCLE_ROWS
+ORACLE["stream_mart_update_final"] = ORACLE["mart_org_sort_day"]
+ORACLE["stream_mart_keyed_final"] = ORACLE["mart_org_order_day"]
+ORACLE["stream_fanout"] = f"""WITH {BOUND}
+SELECT fact_type, CAST(event_id AS VARCHAR) AS id, 'o' || user_id AS order_id, CAST(user_id AS VARCHAR) AS org_id,
+       {local("fact_ms")} AS event_time, emp AS emp_id, fact_ms AS ts FROM bound"""
+ORACLE["stream_dim_upsert"] = f"""WITH {FEED},
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY at_ms DESC, event_id DESC) AS rn
+  FROM feed WHERE op <> 'd' AND event_type = 'purchase')
+SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(event_id AS VARCHAR) AS event_id, val AS value FROM ranked WHERE rn = 1"""
+ORACLE["stream_snapshot_timer"] = f"""WITH {SNAPSHOTS}
+SELECT day, event_type, tick_ms, n_events, total_value FROM snapshots
+WHERE tick_ms <= (SELECT max(at_ms) FROM at_events) - 5000"""
+
 for _fact, _time in ORDER_FACT_TIMES.items():
     ORACLE[_fact.replace("dwd_", "fact_")] = f"""WITH {LIFECYCLE}
 SELECT * EXCLUDE (fact_type), {local("ts")} AS {_time} FROM lifecycle WHERE fact_type = '{_fact}'"""

@@ -272,7 +272,7 @@ def dict_name(spark, sf_dir):
 
 def _mart(spark: SparkSession, sf_dir: str, table_name: str, rows: DataFrame) -> DataFrame:
     """The mart without its version stamp, which differs from run to run."""
-    return marts.daily_mart(rows, marts.ALL_MARTS[table_name], feeds.dimensions(spark, sf_dir)).drop("ts")
+    return marts.daily_mart(rows, marts.ALL_MARTS[table_name], feeds.Dimensions(spark, sf_dir)).drop("ts")
 
 
 @query

@@ -1,10 +1,10 @@
 """Values carried forward along a key's history, safe against hot keys.
 
-A plain window over a key puts the whole key into one task.  Here a key with more
-than ``hot_rows`` rows is first cut into time slices.  Windows run inside a slice;
-what a slice inherits is the last value of the slices before it, taken from one
-summary row per slice.  Keys below the limit form a single slice and pay nothing
-but the count that finds the hot ones.
+A plain window over a key puts the whole key into one task.  So the rows per key are
+counted first (one long per key and task travels).  If no key exceeds ``hot_rows``, the
+plain window is used.  Otherwise the hot keys are cut into time slices: windows run
+inside a slice, and what a slice inherits is the last value of the slices before it,
+taken from one summary row per slice.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelflow.session import written
+
 SLICE = "_slice"
 HOT_ROWS = 1_000_000
 
@@ -20,13 +22,15 @@ SPREAD = 4
 
 
 def slice_hot_keys(df: DataFrame, key: str, position: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Add the slice number: 0 for ordinary keys, 1, 2, ... along a hot key's history.
+    """Number the slices of hot keys 1, 2, ... along their history; other keys have slice 0.
 
-    ``position`` is a non-null integer the history is primarily ordered by.  At most
-    ``rows / hot_rows`` keys can be hot, which bounds what is broadcast.
+    Without a hot key (or with ``hot_rows=None``, for keys known to be short) ``df`` comes
+    back as it is.  ``position`` is a non-null integer the history is primarily ordered by.
+    At most ``rows / hot_rows`` keys can be hot, which bounds what is broadcast.  The sliced
+    rows are written out once, as several branches read them.
     """
     if hot_rows is None:
-        return df.withColumn(SLICE, F.lit(0).cast("bigint"))
+        return df
     stats = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"), F.min(position).alias("_low"), F.max(position).alias("_high")
     )
@@ -34,25 +38,25 @@ def slice_hot_keys(df: DataFrame, key: str, position: str, hot_rows: int | None
     hot = stats.where(F.col("_n") > hot_rows).select(
         key, "_low", F.ceil((F.col("_high") - F.col("_low") + 1) / slices).alias("_width")
     )
+    if hot.isEmpty():
+        return df
     number = F.floor((F.col(position) - F.col("_low")) / F.col("_width")) + 1
-    return (
-        df.join(F.broadcast(hot), key, "left")
-        .withColumn(SLICE, F.coalesce(number.cast("bigint"), F.lit(0).cast("bigint")))
-        .drop("_low", "_width")
-    )
+    sliced = df.join(F.broadcast(hot), key, "left").withColumn(SLICE, F.coalesce(number.cast("bigint"), F.lit(0).cast("bigint")))
+    return written(sliced.drop("_low", "_width"), "sliced")
 
 
-def carry_last(sliced: DataFrame, key: str, order: list[str], value: Column, name: str, hot: bool = True) -> DataFrame:
+def carry_last(history: DataFrame, key: str, order: list[str], value: Column, name: str) -> DataFrame:
     """Add ``name``: the last non-null ``value`` among strictly earlier rows of the key.
 
-    ``sliced`` comes from :func:`slice_hot_keys`, whose position is ``order[0]``.
-    ``hot=False`` says that no key was sliced.
+    ``history`` comes from :func:`slice_hot_keys`, whose position is ``order[0]``.
     """
-    history = sliced.withColumn("_value", value)
-    window = Window.partitionBy(key, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    within = history.withColumn(name, F.last("_value", ignorenulls=True).over(window))
-    if not hot:
-        return within.drop("_value")
+    history = history.withColumn("_value", value)
+    sliced = SLICE in history.columns
+    part = [key, SLICE] if sliced else [key]
+    window = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    within = history.withColumn(name, F.last("_value", ignorenulls=True).over(window)).drop("_value")
+    if not sliced:
+        return within
     tails = (
         history.where(F.col(SLICE) > 0)
         .groupBy(key, SLICE)
@@ -63,11 +67,10 @@ def carry_last(sliced: DataFrame, key: str, order: list[str], value: Column, nam
     return (
         within.join(inherited, [key, SLICE], "left")
         .withColumn(name, F.coalesce(F.col(name), F.col("_inherited")))
-        .drop("_value", "_inherited")
+        .drop("_inherited")
     )
 
 
 def previous(df: DataFrame, key: str, order: list[str], value: Column, name: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """``lag(value)`` over a key's history; ``value`` must be non-null (wrap it in a struct)."""
-    sliced = slice_hot_keys(df, key, order[0], hot_rows)
-    return carry_last(sliced, key, order, value, name, hot_rows is not None).drop(SLICE)
+    """The last non-null ``value`` among earlier rows; ``lag`` if ``value`` is never null."""
+    return carry_last(slice_hot_keys(df, key, order[0], hot_rows), key, order, value, name).drop(SLICE)

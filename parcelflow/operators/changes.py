@@ -14,15 +14,23 @@ from pyspark.sql.types import DataType
 ENVELOPE = "op STRING, ts_ms BIGINT, ts BIGINT, before STRING, after STRING, source STRUCT<table: STRING>"
 
 
+def parse_once(df: DataFrame, name: str, parsed: Column) -> DataFrame:
+    """Add an expensive column behind a generator.
+
+    The optimizer merges adjacent projections, which would repeat the parse for every
+    field read from its result.  It never merges across a generator.
+    """
+    return df.select("*", F.explode(F.array(parsed)).alias(name))
+
+
 def decode_changes(raw: DataFrame, value: str = "value") -> DataFrame:
     """Parse envelope text; other columns of ``raw`` pass through.
 
     A malformed text gives a row of nulls, which :func:`drop_unusable` removes.
     ``ts_ms`` is the name at the source, ``ts`` the one after the first layer.
     """
-    envelope = F.from_json(F.col(value), ENVELOPE)
     kept = [c for c in raw.columns if c != value]
-    return raw.select(*kept, envelope.alias("_envelope")).select(
+    return parse_once(raw, "_envelope", F.from_json(F.col(value), ENVELOPE)).select(
         *kept,
         F.col("_envelope.source.table").alias("table"),
         F.col("_envelope.op").alias("op"),
@@ -65,7 +73,9 @@ def for_tables(changes: DataFrame, *tables: str) -> DataFrame:
 
 def parse_images(changes: DataFrame, image: DataType | str) -> DataFrame:
     """Replace the JSON images by typed ones (a struct, or a map for an unknown table)."""
-    return changes.withColumns({name: F.from_json(F.col(name), image) for name in ("before", "after")})
+    kept = [c for c in changes.columns if c not in ("before", "after")]
+    images = F.struct(*[F.from_json(F.col(name), image).alias(name) for name in ("before", "after")])
+    return parse_once(changes, "_images", images).select(*kept, "_images.before", "_images.after")
 
 
 def order_within_key(changes: DataFrame, key: Column, partitions: int | None = None) -> DataFrame:

@@ -10,13 +10,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.operators.carry import HOT_ROWS, SLICE, carry_last, slice_hot_keys
+from parcelflow.operators.carry import HOT_ROWS, carry_last, slice_hot_keys
 from parcelflow.operators.transitions import Lifecycle
 
 # Fixed value: how long an order waits for its cargo.
 ORDER_WAIT_MS = 5_000
 
 
+def relevant_events(events: DataFrame, lifecycle: Lifecycle) -> DataFrame:
+    """Keep what can matter - inserts, and updates that are a status change of interest.
+
+    Adds ``_change``, the fact of such a status change.  Narrow, so the rest is gone
+    before anything is shuffled.
+    """
+    change = F.when(
+        F.col("order").isNotNull() & (F.col("op") == "u"),
+        lifecycle.fact_type(F.col("old_status"), F.col("new_status")),
+    )
+    marked = events.where(F.col("key").isNotNull()).withColumn("_change", change)
+    return marked.where((F.col("op") == "c") | F.col("_change").isNotNull())
+
+
 def pair_orders_with_cargo(
     events: DataFrame,
     lifecycle: Lifecycle,
@@ -36,24 +50,19 @@ def pair_orders_with_cargo(
     is_order, is_cargo = F.col("order").isNotNull(), F.col("cargo").isNotNull()
     created = F.col("op") == "c"
     order_ts = ["ts", "seq"]
-    hot = hot_rows is not None
 
-    events = events.where(F.col("key").isNotNull())
-    events = events.withColumn(
-        "_change",
-        F.when(is_order & (F.col("op") == "u"), lifecycle.fact_type(F.col("old_status"), F.col("new_status"))),
-    )
+    events = relevant_events(events, lifecycle)
     history = slice_hot_keys(events, "key", "ts", hot_rows)
 
     # A closing change overwrites the remembered cargo with nothing.
     remembered = F.when(is_cargo & created, F.struct(F.col("cargo"))).when(
         F.col("_change").isin(*lifecycle.closing_facts), F.struct(F.col("cargo"))
     )
-    history = carry_last(history, "key", order_ts, remembered, "_cargo", hot)
+    history = carry_last(history, "key", order_ts, remembered, "_cargo")
     known = F.col("_cargo.cargo")
 
     waiting = F.when(is_order & created & known.isNull(), F.struct("order", "ts"))
-    history = carry_last(history, "key", order_ts, waiting, "_waiting", hot)
+    history = carry_last(history, "key", order_ts, waiting, "_waiting")
     still_waiting = F.col("ts") - F.col("_waiting.ts") < wait_ms
 
     cargo_completes = is_cargo & created & still_waiting

@@ -7,7 +7,7 @@ import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: All instants are kept in UTC; business days are shifted by an explicit offset.
 SESSION_CONF = {
@@ -68,3 +68,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix=f"parcelflow-{name}-")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back.
+
+    Cuts the lineage where several branches need the same rows; the copy survives the
+    loss of executors and keeps column pruning.
+    """
+    path = f"{work_dir(df.sparkSession, name)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,9 +14,10 @@ from parcelflow.sources.schemas import DIMENSION_TABLES, FACT_TABLES, from_wire_
 #: Columns every raw feed has: the text and its position among texts of the same time.
 RAW = "value STRING, seq BIGINT"
 
-#: Rows a micro-batch may take in, which also bounds the group of a hot key.
-MAX_OFFSETS = 10_000_000
-MAX_FILES = 1_000
+#: What a micro-batch may take in unless an option says otherwise.  It also bounds the
+#: rows of a hot key that one task of a stateful operator sees at a time.
+MAX_OFFSETS = 2_000_000
+MAX_FILES = 200
 
 
 def read_topic(
