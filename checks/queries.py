@@ -40,7 +40,7 @@ def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_changes(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return decode_changes(feeds.order_feed(table(spark, sf_dir, "events"), **options))
+    return facts.decode_order_changes(feeds.order_feed(table(spark, sf_dir, "events"), **options))
 
 
 # --- decoding, cleaning, routing -------------------------------------------------------------
@@ -106,7 +106,7 @@ def transition_null_to_value(spark, sf_dir):
 
 
 def all_bound_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.bound_facts(decode_changes(feeds.bound_feed(table(spark, sf_dir, "events"))))
+    return facts.bound_facts(facts.decode_bound_changes(feeds.bound_feed(table(spark, sf_dir, "events"))))
 
 
 @query
@@ -220,7 +220,7 @@ def bound_outbound(spark, sf_dir):
 
 @query
 def trans_finish(spark, sf_dir):
-    return facts.trip_facts(decode_changes(feeds.trip_feed(spark, sf_dir)))
+    return facts.trip_facts(facts.decode_trip_changes(feeds.trip_feed(spark, sf_dir)))
 
 
 # --- lookups -----------------------------------------------------------------------------------

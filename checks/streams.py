@@ -39,9 +39,9 @@ def run_to_end(spark: SparkSession, writer: DataStreamWriter, extra: dict[str, s
 
 
 def streamed_feed(spark: SparkSession, folder: str, feed: DataFrame) -> DataFrame:
-    """A derived feed, written out and read back as a stream of changes."""
+    """A derived feed, written out and read back as a stream of envelope text."""
     feed.write.parquet(f"{folder}/feed")
-    return decode_changes(read_folder(spark, f"{folder}/feed", RAW, **EVERYTHING))
+    return read_folder(spark, f"{folder}/feed", RAW, **EVERYTHING)
 
 
 def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,8 @@ def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_order_cargo(spark, sf_dir):
     folder = work_dir(spark, "stream-order-cargo")
-    changes = streamed_feed(spark, folder, feeds.order_feed(table(spark, sf_dir, "events")))
+    raw = streamed_feed(spark, folder, feeds.order_feed(table(spark, sf_dir, "events")))
+    changes = facts.decode_order_changes(raw)
     paired = order_fact_stream(changes, wait_ms=feeds.FEED_WAIT_MS)
     run_to_end(spark, stream_to_folder(paired, f"{folder}/facts", f"{folder}/checkpoint"), STOP_WHEN_DRAINED)
     return _lifecycle_columns(spark.read.schema(paired.schema).parquet(f"{folder}/facts"))
@@ -60,7 +61,8 @@ def stream_order_cargo(spark, sf_dir):
 @query
 def stream_fanout(spark, sf_dir):
     folder = work_dir(spark, "stream-fanout")
-    changes = streamed_feed(spark, folder, feeds.bound_feed(table(spark, sf_dir, "events")))
+    raw = streamed_feed(spark, folder, feeds.bound_feed(table(spark, sf_dir, "events")))
+    changes = facts.decode_bound_changes(raw)
     run_to_end(spark, jobs.bound_fact_job(changes, f"{folder}/facts", f"{folder}/checkpoint"))
     stored = spark.read.parquet(f"{folder}/facts")
     return stored.select("fact_type", "id", "order_id", "org_id", "event_time", "emp_id", "ts")
@@ -69,7 +71,7 @@ def stream_fanout(spark, sf_dir):
 @query
 def stream_dim_upsert(spark, sf_dir):
     folder = work_dir(spark, "stream-dim-upsert")
-    changes = streamed_feed(spark, folder, feeds.change_feed(table(spark, sf_dir, "events")))
+    changes = decode_changes(streamed_feed(spark, folder, feeds.change_feed(table(spark, sf_dir, "events"))))
     job = jobs.dimension_job(changes, lambda: feeds.buyer_config(spark), f"{folder}/dims", f"{folder}/checkpoint")
     run_to_end(spark, job)
     buyers = read_dimension(spark, f"{folder}/dims", "dim_buyer", "user_id", ["user_id", "event_id", "value"])
@@ -80,7 +82,8 @@ def stream_dim_upsert(spark, sf_dir):
 def stream_mart_update_final(spark, sf_dir):
     """Sort facts through the running mart; the newest version of each day and key."""
     folder, name = work_dir(spark, "stream-mart"), "dws_bound_org_sort_day_base"
-    changes = streamed_feed(spark, folder, feeds.bound_feed(table(spark, sf_dir, "events")))
+    raw = streamed_feed(spark, folder, feeds.bound_feed(table(spark, sf_dir, "events")))
+    changes = facts.decode_bound_changes(raw)
     sorted_facts = facts.bound_fact(facts.bound_facts(changes), "dwd_bound_sort")
     dims = feeds.Dimensions(spark, sf_dir)
     job = jobs.mart_job(sorted_facts, ALL_MARTS[name], lambda: dims, append_mart(f"{folder}/mart"), f"{folder}/checkpoint")

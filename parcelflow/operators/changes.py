@@ -1,36 +1,46 @@
 """Decoding, cleaning and routing of change envelopes.
 
 A decoded change has ``table``, ``op`` (c insert, u update, d delete, r snapshot),
-``ts`` (capture time, ms), and the row images ``before`` / ``after`` as JSON text.
-Images are parsed later, by whoever knows the table, with just the fields it needs.
+``ts`` (capture time, ms), and the row images ``before`` / ``after``, as JSON text until
+someone who knows the table parses them with just the fields it needs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
 
-ENVELOPE = "op STRING, ts_ms BIGINT, ts BIGINT, before STRING, after STRING, source STRUCT<table: STRING>"
 
 
-def parse_once(df: DataFrame, name: str, parsed: Column) -> DataFrame:
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add an expensive column behind a generator.
 
-    The optimizer merges adjacent projections, which would repeat the parse for every
+    The optimizer merges adjacent projections, which would repeat a parse for every
     field read from its result.  It never merges across a generator.
     """
-    return df.select("*", F.explode(F.array(parsed)).alias(name))
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def decode_changes(raw: DataFrame, value: str = "value") -> DataFrame:
+def envelope(after: DataType, before: DataType) -> StructType:
+    """Layout of an envelope.  ``ts_ms`` is the time's name at the source, ``ts`` after the first layer."""
+    source = StructType([StructField("table", StringType())])
+    fields = {"op": StringType(), "ts_ms": LongType(), "ts": LongType(), "before": before, "after": after, "source": source}
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
+
+
+def decode_changes(
+    raw: DataFrame, value: str = "value", image: DataType = StringType(), before: DataType | None = None
+) -> DataFrame:
     """Parse envelope text; other columns of ``raw`` pass through.
 
-    A malformed text gives a row of nulls, which :func:`drop_unusable` removes.
-    ``ts_ms`` is the name at the source, ``ts`` the one after the first layer.
+    A malformed text gives a row of nulls, which :func:`drop_unusable` removes.  Images
+    stay JSON text by default.  A job that wants the tables of one layout only names it
+    (and, in ``before``, the few fields it compares), which saves the second parse.
     """
     kept = [c for c in raw.columns if c != value]
-    return parse_once(raw, "_envelope", F.from_json(F.col(value), ENVELOPE)).select(
+    parsed = F.from_json(F.col(value), envelope(image, before or image))
+    return computed_once(raw.select(*kept, value), "_envelope", parsed).select(
         *kept,
         F.col("_envelope.source.table").alias("table"),
         F.col("_envelope.op").alias("op"),
@@ -72,10 +82,12 @@ def for_tables(changes: DataFrame, *tables: str) -> DataFrame:
 
 
 def parse_images(changes: DataFrame, image: DataType | str) -> DataFrame:
-    """Replace the JSON images by typed ones (a struct, or a map for an unknown table)."""
+    """JSON images -> typed ones (a struct, or a map for an unknown table); typed ones stay."""
+    if not isinstance(changes.schema["after"].dataType, StringType):
+        return changes
     kept = [c for c in changes.columns if c not in ("before", "after")]
     images = F.struct(*[F.from_json(F.col(name), image).alias(name) for name in ("before", "after")])
-    return parse_once(changes, "_images", images).select(*kept, "_images.before", "_images.after")
+    return computed_once(changes, "_images", images).select(*kept, "_images.before", "_images.after")
 
 
 def order_within_key(changes: DataFrame, key: Column, partitions: int | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions.masking import MASKING_POLICY, Mask, mask_map
-from parcelflow.operators.changes import drop_unusable, keep_columns, parse_images, route, split_list
+from parcelflow.operators.changes import computed_once, drop_unusable, keep_columns, parse_images, route, split_list
 from parcelflow.operators.latest import current_state, latest_by
 from parcelflow.sources.schemas import ANY_IMAGE, DIM_CONFIG
 
@@ -47,20 +47,22 @@ def route_dimensions(
     """
     extra = [c for c in changes.columns if c not in ("table", "op", "ts", "before", "after")]
     usable = changes.where(F.coalesce("after", "before").isNotNull()) if apply_deletes else drop_unusable(changes)
-    routed = route(parse_images(usable, ANY_IMAGE), config)
-    image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-    columns = split_list("sink_columns")
-    masked = mask_map(F.col("table"), image, policy)
-    row = F.map_filter(keep_columns(masked, columns), lambda key, _: key != F.col("sink_pk"))
-    return routed.select(
+    lists = config.select(
+        "source_table",
         "sink_table",
+        "sink_pk",
+        F.array_remove(split_list("sink_columns"), F.col("sink_pk")).alias("_columns"),
+        split_list("foreign_keys").alias("_foreign"),
+    )
+    routed = route(parse_images(usable, ANY_IMAGE), lists)
+    image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    stored = F.struct(
         image[F.col("sink_pk")].alias("pk"),
-        "op",
-        "ts",
-        *extra,
-        row.alias("row"),
+        mask_map(F.col("table"), keep_columns(image, F.col("_columns")), policy).alias("row"),
         F.when(F.col("op") == "u", foreign_values()).alias("foreign_key"),
-        "sink_pk",
+    )
+    return computed_once(routed, "_stored", stored).select(
+        "sink_table", "_stored.pk", "op", "ts", *extra, "_stored.row", "_stored.foreign_key", "sink_pk"
     )
 
 
@@ -72,7 +74,7 @@ def foreign_values() -> Column:
     before, after = F.col("before"), F.col("after")
     return F.map_from_entries(
         F.transform(
-            split_list("foreign_keys"),
+            F.col("_foreign"),
             lambda key: F.struct(
                 key.alias("key"),
                 F.when(before.isNotNull() & ~before[key].eqNullSafe(after[key]), before[key])

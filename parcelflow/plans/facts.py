@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from parcelflow.functions import masking, times
 from parcelflow.operators.carry import HOT_ROWS
-from parcelflow.operators.changes import drop_unusable, for_tables, parse_images
+from parcelflow.operators.changes import decode_changes, drop_unusable, for_tables, parse_images
 from parcelflow.operators.order_cargo import ORDER_WAIT_MS, pair_orders_with_cargo
 from parcelflow.operators.transitions import ORDER_LIFECYCLE, became_set, emit_facts
 from parcelflow.sources.schemas import (
@@ -34,6 +34,19 @@ ORDER_FIELDS = [
 ]
 
 
+def _compared(*names: str) -> StructType:
+    """Layout of a ``before`` image of which only a few fields are compared."""
+    layout = StructType()
+    for name in names:
+        layout = layout.add(name, StringType())
+    return layout
+
+
+def decode_order_changes(raw: DataFrame) -> DataFrame:
+    """Envelope text -> typed changes for :func:`order_facts`, in a single parse."""
+    return decode_changes(raw, image=ORDER_OR_CARGO, before=_compared("status"))
+
+
 def masked_order(image: Column) -> Column:
     """Order image as a struct, the two names masked."""
     masked = {"sender_name", "receiver_name"}
@@ -104,6 +117,11 @@ def order_fact(facts: DataFrame, name: str) -> DataFrame:
 BOUND_FACTS = ("dwd_bound_inbound", "dwd_bound_sort", "dwd_bound_outbound")
 
 
+def decode_bound_changes(raw: DataFrame) -> DataFrame:
+    """Envelope text -> typed changes for :func:`bound_facts`, in a single parse."""
+    return decode_changes(raw, image=ORDER_ORG_BOUND, before=_compared("sort_time", "outbound_time"))
+
+
 def bound_facts(changes: DataFrame) -> DataFrame:
     """Inbound, sort and outbound facts with ``fact_type``; one update may give two.
 
@@ -147,6 +165,11 @@ def bound_fact(facts: DataFrame, name: str) -> DataFrame:
 # --- trips ---------------------------------------------------------------------------------
 
 
+def decode_trip_changes(raw: DataFrame) -> DataFrame:
+    """Envelope text -> typed changes for :func:`trip_facts`, in a single parse."""
+    return decode_changes(raw, image=TRANSPORT_TASK, before=_compared("actual_end_time"))
+
+
 def trip_facts(changes: DataFrame) -> DataFrame:
     """One fact per trip whose arrival time was just filled in."""
     typed = parse_images(drop_unusable(for_tables(changes, "transport_task")), TRANSPORT_TASK)

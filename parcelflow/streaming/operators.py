@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DecimalType, LongType, StructField, StructType
 
 from parcelflow.functions import times
-from parcelflow.operators.changes import parse_once
+from parcelflow.operators.changes import computed_once
 from parcelflow.operators.daily import DAY, FIRST, REFRESH_MS, Measures, tick
 from parcelflow.operators.order_cargo import ORDER_WAIT_MS, relevant_events
 from parcelflow.operators.transitions import ORDER_LIFECYCLE, Lifecycle
@@ -45,7 +45,7 @@ def order_fact_stream(
     processor = OrderCargoProcessor(lifecycle.created_fact, lifecycle.closing_facts, wait_ms, max(ttl_ms, wait_ms))
     paired = rows.groupBy("key").transformWithStateInPandas(processor, PAIRED_SCHEMA, "Append", "ProcessingTime")
     images = F.struct(F.from_json("order", ORDER_INFO).alias("order"), F.from_json("cargo", ORDER_CARGO).alias("cargo"))
-    parsed = parse_once(paired.select("fact_type", F.col("order"), F.col("cargo")), "_images", images)
+    parsed = computed_once(paired.select("fact_type", F.col("order"), F.col("cargo")), "_images", images)
     return finish_order_facts(parsed.select("fact_type", "_images.order", "_images.cargo"))
 
 

@@ -91,48 +91,48 @@ class DayRefreshProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         sums = ", ".join(f"{m} BIGINT" for m in self.measures)
-        self.open = handle.getMapState("open", "tick_ms BIGINT", sums)
+        self.open = handle.getListState("open", f"tick_ms BIGINT, {sums}")
         self.total = handle.getValueState("total", sums)
 
     def _last_tick(self, key) -> int:
         return (int(key[-1]) + 1) * 86_400_000 - self.offset_ms - 1
 
+    def _by_tick(self, frames: list[pd.DataFrame]) -> pd.DataFrame:
+        return pd.concat(frames)[["tick_ms", *self.measures]].groupby("tick_ms", as_index=False).sum().astype("int64")
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         watermark, last = timerValues.getCurrentWatermarkInMs(), self._last_tick(key)
         if last > watermark:
             upcoming = min((watermark // self.refresh_ms + 1) * self.refresh_ms, last)
+            added = None
             for frame in rows:
-                ticks = frame["tick_ms"].clip(lower=upcoming)
-                for tick_ms, *sums in frame.groupby(ticks)[self.measures].sum().itertuples():
-                    self._add((int(tick_ms),), [int(s) for s in sums])
-            self.handle.registerTimer(min(k[0] for k in self.open.keys()))
+                frame = frame.assign(tick_ms=frame["tick_ms"].clip(lower=upcoming))
+                added = self._by_tick([frame] if added is None else [added, frame])
+            self.open.appendList([tuple(r) for r in added.to_numpy().tolist()])
+            self.handle.registerTimer(int(added["tick_ms"].min()))
             self.handle.registerTimer(last)
         yield from ()
 
-    def _add(self, tick: tuple, sums: list[int]) -> None:
-        if self.open.containsKey(tick):
-            sums = [a + b for a, b in zip(self.open.getValue(tick), sums)]
-        self.open.updateValue(tick, tuple(sums))
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        stored = self.total.get()
-        total = list(stored) if stored is not None else [0] * len(self.measures)
-        ticks = sorted(k[0] for k in self.open.keys())
-        due = [t for t in ticks if t <= watermark]
-        out = []
-        for tick_ms in due:
-            total = [a + b for a, b in zip(total, self.open.getValue((tick_ms,)))]
-            out.append((*key, tick_ms, *total))
-            self.open.removeKey((tick_ms,))
+        stored = [tuple(r) for r in self.open.get()]
+        if stored:
+            ticks = self._by_tick([pd.DataFrame(stored, columns=["tick_ms", *self.measures])])
+            due, ahead = ticks[ticks["tick_ms"] <= watermark], ticks[ticks["tick_ms"] > watermark]
+            if len(due):
+                total = self.total.get() or (0,) * len(self.measures)
+                running = due[self.measures].cumsum() + list(total)
+                self.total.update(tuple(int(v) for v in running.iloc[-1]))
+                if len(ahead):
+                    self.open.put([tuple(r) for r in ahead.to_numpy().tolist()])
+                else:
+                    self.open.clear()
+                names = {c: v for c, v in zip(self.columns, key)}
+                yield running.assign(**names, tick_ms=due["tick_ms"])[[*self.columns, "tick_ms", *self.measures]]
+            if len(ahead):
+                self.handle.registerTimer(int(ahead["tick_ms"].min()))
         if self._last_tick(key) <= watermark:
             self.total.clear()
-        elif due:
-            self.total.update(tuple(total))
-        if len(due) < len(ticks):
-            self.handle.registerTimer(ticks[len(due)])
-        if out:
-            yield pd.DataFrame(out, columns=[*self.columns, "tick_ms", *self.measures])
 
     def close(self) -> None:
         pass
