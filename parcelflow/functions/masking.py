@@ -73,22 +73,22 @@ def mask_columns(columns: dict[str, Column], table: str, policy: dict[str, dict[
     return [(masks[name](c) if name in masks else c).alias(name) for name, c in columns.items()]
 
 
-def _mask_entries(row: Column, masks: dict[str, Mask]) -> Column:
-    def masked(key: Column, value: Column) -> Column:
-        out = value
-        for column, mask in masks.items():
-            out = F.when(key == column, mask(value)).otherwise(out)
-        return out
-
-    return F.transform_values(row, masked)
-
-
 def mask_map(table: Column, row: Column, policy: dict[str, dict[str, Mask]] | None = None) -> Column:
     """Mask a ``MAP<STRING,STRING>`` row whose table is only known at run time.
 
     Absent keys stay absent: a mask is applied to the entries the row has.
     """
-    out = row
-    for name, masks in (MASKING_POLICY if policy is None else policy).items():
-        out = F.when(table == name, _mask_entries(row, masks)).otherwise(out)
-    return out
+    policy = MASKING_POLICY if policy is None else policy
+    fields: dict[Mask, list[str]] = {}
+    for name, masks in policy.items():
+        for column, mask in masks.items():
+            fields.setdefault(mask, []).append(f"{name}.{column}")
+
+    def masked(key: Column, value: Column) -> Column:
+        field = F.concat_ws(".", table, key)
+        out = value
+        for mask, names in fields.items():
+            out = F.when(field.isin(*names), mask(value)).otherwise(out)
+        return out
+
+    return F.transform_values(row, masked) if fields else row
