@@ -67,13 +67,17 @@ def drop_unusable(changes: DataFrame, metrics: Observation | None = None) -> Dat
 
 
 def encode_changes(changes: DataFrame) -> DataFrame:
-    """Decoded change -> envelope text; the images are spliced in untouched."""
+    """Decoded change (images as text) -> ``key``, the row's id, and ``value``, the envelope text.
+
+    The images are spliced in untouched.  With the id as message key all changes of a
+    row go to one partition of a topic.
+    """
     head = F.to_json(F.struct("op", "ts", F.struct("table").alias("source")))
     nested = [
         F.coalesce(F.concat(F.lit(f',"{name}":'), F.col(name)), F.lit(f',"{name}":null')) for name in ("before", "after")
     ]
     text = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), *nested, F.lit("}"))
-    return changes.withColumn("_head", head).select(text.alias("value"))
+    return changes.withColumn("_head", head).select(F.get_json_object("after", "$.id").alias("key"), text.alias("value"))
 
 
 def for_tables(changes: DataFrame, *tables: str) -> DataFrame:

@@ -12,12 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from parcelflow.operators.changes import decode_changes, drop_unusable
+from parcelflow.operators.changes import decode_changes, drop_unusable, encode_changes
 from parcelflow.operators.order_cargo import ORDER_WAIT_MS
 from parcelflow.plans import facts as fact_plans
 from parcelflow.plans.dimensions import route_dimensions
 from parcelflow.plans.marts import Dimensions, Mart, at_grain, finish
-from parcelflow.sources.sinks import BatchWriter, fan_out_to_folders, stream_to_folder, upsert_dimensions
+from parcelflow.sources.sinks import BatchWriter, fan_out_to_folders, stream_to_folder, stream_to_topic, upsert_dimensions
 from parcelflow.streaming.operators import daily_totals_stream, order_fact_stream
 
 DimensionReader = Callable[[], Dimensions]
@@ -31,6 +31,11 @@ def capture_job(raw: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     return stream_to_folder(drop_unusable(decode_changes(raw)), path, checkpoint, "table")
 
 
+def capture_topic_job(raw: DataFrame, servers: str, topic: str, checkpoint: str) -> DataStreamWriter:
+    """The same into one topic, keyed by row id."""
+    return stream_to_topic(encode_changes(drop_unusable(decode_changes(raw))), servers, topic, checkpoint)
+
+
 def each_batch(df: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "append") -> DataStreamWriter:
     return df.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint)
 
