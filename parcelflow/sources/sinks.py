@@ -53,6 +53,20 @@ def stream_to_console(df: DataFrame, rows: int = 20) -> DataStreamWriter:
     return df.writeStream.format("console").option("numRows", rows).option("truncate", False)
 
 
+# --- folders kept by batch -------------------------------------------------------------------
+
+
+def _replace_batch(rows: DataFrame, batch_id: int, path: str, column: str) -> None:
+    """Write a batch below ``column=.../batch_id=...``, replacing what an earlier try left there.
+
+    The rebalance gives each folder few files of moderate size: small ones are merged,
+    and a folder with most of the rows is split over several tasks.
+    """
+    target = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint("rebalance", F.col(column))
+    writer = target.write.partitionBy(column, "batch_id").mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 # --- fan-out ---------------------------------------------------------------------------------
 
 
@@ -60,9 +74,7 @@ def fan_out_to_folders(path: str, column: str = "fact_type") -> BatchWriter:
     """Mixed facts -> one folder per fact, all in a single write."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = batch.withColumn("batch_id", F.lit(batch_id))
-        writer = target.write.partitionBy(column, "batch_id").mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+        _replace_batch(batch, batch_id, path, column)
 
     return write
 
@@ -93,10 +105,10 @@ def fan_out_to_topics(
 
 
 def append_mart(path: str) -> BatchWriter:
-    """Append finished mart rows; the versions of a day's total differ in ``ts``."""
+    """Append finished mart rows by day; the versions of a day's total differ in ``ts``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        _replace_batch(batch, batch_id, path, "cur_date")
 
     return write
 
@@ -116,9 +128,8 @@ def append_mart_jdbc(url: str, table: str, driver: str, **options: str) -> Batch
 
 
 def read_mart(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """All appended versions of a mart."""
-    schema = StructType(written_fields(MARTS[table]))
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    """All appended versions of a mart; a filter on ``cur_date`` prunes to its folders."""
+    return spark.read.schema(StructType(written_fields(MARTS[table]))).parquet(path).drop("batch_id")
 
 
 # --- dimensions --------------------------------------------------------------------------------
@@ -137,9 +148,7 @@ def upsert_dimensions(path: str) -> BatchWriter:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = newest_rows(batch.select("sink_table", "pk", "op", "ts", "seq", "row"))
-        target = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        writer = target.write.partitionBy("sink_table", "batch_id").mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+        _replace_batch(rows, batch_id, path, "sink_table")
 
     return write
 
@@ -159,8 +168,7 @@ def compact_dimensions(spark: SparkSession, path: str, target: str) -> None:
     Readers and the next upserts then move to ``target``; the old folder stays valid.
     """
     rows = latest_by(_log(spark, path), ["sink_table", "pk"], ["ts", "seq", "batch_id"]).where(F.col("op") != "d")
-    folded = rows.withColumn("batch_id", F.lit(-1).cast("bigint"))
-    folded.write.partitionBy("sink_table", "batch_id").parquet(target)
+    _replace_batch(rows.drop("batch_id"), -1, target, "sink_table")
 
 
 def create_dimensions(spark: SparkSession, config: DataFrame, database: str | None = None) -> list[str]:
