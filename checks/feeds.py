@@ -181,6 +181,32 @@ def bound_feed(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     )
 
 
+def config_feed(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Routing rows: the user is the source table, its row rewritten by each of its events."""
+    base = events.select(
+        "event_id",
+        text("user_id").alias("user"),
+        epoch_ms("ts").alias("at"),
+        F.struct(
+            text("user_id").alias("source_table"),
+            F.concat(F.lit("dim_"), F.col("event_type")).alias("sink_table"),
+            F.when(F.col("event_type") == "view", "").otherwise(F.col("event_type")).alias("sink_family"),
+            F.concat(F.lit("id,"), F.col("event_type")).alias("sink_columns"),
+            F.lit("id").alias("sink_pk"),
+            text("event_id").alias("foreign_keys"),
+        ).alias("image"),
+    )
+    paired = previous(base, "user", ["at", "event_id"], F.col("image"), "before", hot_rows)
+    op = feed_op()
+    # A deleted row is only named by its ``before``; the first event of a user has none.
+    gone = op == "d"
+    before = F.when(gone, F.coalesce("before", "image")).when(op == "u", F.col("before"))
+    return paired.select(
+        envelope(op, F.lit("config_dim"), F.col("at"), before, F.when(~gone, F.col("image"))).alias("value"),
+        F.col("event_id").alias("seq"),
+    )
+
+
 def trip_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips: every line was updated once; lines of status F were just finished by that update."""
     lines = table(spark, sf_dir, "lineitem")

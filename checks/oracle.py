@@ -357,6 +357,24 @@ SELECT CAST(c_custkey AS VARCHAR) AS id, md5(c_name) AS passwd,
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_partkey""",
 }
 
+ORACLE["config_in_force"] = f"""WITH {FEED},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY at_ms DESC, event_id DESC) AS rn FROM feed)
+SELECT CAST(user_id AS VARCHAR) AS source_table, 'dim_' || event_type AS sink_table,
+       CASE WHEN event_type = 'view' THEN 'info' ELSE event_type END AS sink_family,
+       'id,' || event_type AS sink_columns, 'id' AS sink_pk, CAST(event_id AS VARCHAR) AS foreign_keys
+FROM ranked WHERE rn = 1 AND op <> 'd'"""
+ORACLE["fact_wire_roundtrip"] = f"SELECT *, order_id AS key FROM ({ORACLE['bound_sort']})"
+ORACLE["mart_sort_snapshots"] = f"""WITH {BOUND},
+sorts AS (SELECT CAST(user_id AS VARCHAR) AS org_id, fact_ms AS at_ms FROM (SELECT user_id, fact_ms FROM bound WHERE fact_type = 'dwd_bound_sort')),
+ticks AS (SELECT {day('at_ms')} AS day, org_id, {TICK} AS tick_ms, count(*) AS n FROM sorts GROUP BY 1, 2, 3)
+SELECT day, org_id, tick_ms, CAST(sum(n) OVER (PARTITION BY day, org_id ORDER BY tick_ms) AS BIGINT) AS sort_count_base FROM ticks"""
+ORACLE["mart_order_snapshots"] = f"""WITH {ORGANS}, {PLACED},
+keyed AS (SELECT org_id, amount, epoch_us(o_orderdate) // 1000 AS at_ms FROM placed LEFT JOIN district_org ON region_id = district),
+ticks AS (
+  SELECT {day('at_ms')} AS day, org_id, {TICK} AS tick_ms, count(*) AS n, sum(amount) AS v FROM keyed GROUP BY 1, 2, 3)
+SELECT day, org_id, tick_ms, CAST(sum(v) OVER w AS DECIMAL(38,2)) AS order_amount_base,
+       CAST(sum(n) OVER w AS BIGINT) AS order_count_base
+FROM ticks WINDOW w AS (PARTITION BY day, org_id ORDER BY tick_ms)"""
 ORACLE["stream_order_cargo"] = LIFECYCLE_ROWS
 ORACLE["stream_mart_update_final"] = ORACLE["mart_org_sort_day"]
 ORACLE["stream_mart_keyed_final"] = ORACLE["mart_org_order_day"]

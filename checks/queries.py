@@ -18,7 +18,9 @@ from parcelflow.operators.lookup import lookup, org_city, region_chain
 from parcelflow.operators.transitions import ORDER_LIFECYCLE, became_set
 from parcelflow.plans import dimensions, facts, marts
 from parcelflow.session import pin_session
-from parcelflow.sources.schemas import ORDER_FACT_TIMES, from_wire_json, to_wire_json
+from parcelflow.sources.readers import config_changes, facts_from_topic
+from parcelflow.sources.schemas import FACTS, ORDER_FACT_TIMES, from_wire_json, to_wire_json
+from parcelflow.sources.sinks import as_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -167,6 +169,13 @@ def dimension_build(spark, sf_dir):
     )
 
 
+@query
+def config_in_force(spark, sf_dir):
+    changes = config_changes(feeds.config_feed(table(spark, sf_dir, "events")))
+    current = dimensions.current_config(changes)
+    return current.withColumn("sink_family", dimensions.sink_family("sink_family"))
+
+
 # --- facts -------------------------------------------------------------------------------------
 
 
@@ -218,6 +227,13 @@ def bound_outbound(spark, sf_dir):
     return facts.bound_fact(all_bound_facts(spark, sf_dir), "dwd_bound_outbound")
 
 
+@query
+def fact_wire_roundtrip(spark, sf_dir):
+    """Sort facts as topic messages and back."""
+    messages = as_messages(facts.bound_fact(all_bound_facts(spark, sf_dir), "dwd_bound_sort"), "order_id")
+    return facts_from_topic(messages, FACTS["dwd_bound_sort"], keep=["key"])
+
+
 @query
 def trans_finish(spark, sf_dir):
     return facts.trip_facts(facts.decode_trip_changes(feeds.trip_feed(spark, sf_dir)))
@@ -337,6 +353,21 @@ def running_snapshots_10s(spark, sf_dir):
     return _money_sum(snapshots, "total_value")
 
 
+@query
+def mart_sort_snapshots(spark, sf_dir):
+    """Every total the sort mart publishes in the course of its days."""
+    mart = marts.ALL_MARTS["dws_bound_org_sort_day_base"]
+    return marts.mart_snapshots(QUERIES["bound_sort"](spark, sf_dir), mart, feeds.Dimensions(spark, sf_dir))
+
+
+@query
+def mart_order_snapshots(spark, sf_dir):
+    """The same for the order mart, whose organisation is looked up."""
+    mart = marts.ALL_MARTS["dws_trade_org_order_day_base"]
+    snapshots = marts.mart_snapshots(feeds.placed_orders(spark, sf_dir), mart, feeds.Dimensions(spark, sf_dir))
+    return _money_sum(snapshots, "order_amount_base")
+
+
 @query
 def snapshot_final_equals_day(spark, sf_dir):
     """Last snapshot of each day next to the day total made without snapshots."""

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.functions import times
+from parcelflow.operators.latest import latest_by
 
 Measures = Mapping[str, str | None]
 
@@ -88,6 +89,48 @@ def tick(ts: Column, offset_hours: int = times.BUSINESS_OFFSET_HOURS, refresh_ms
     return F.least(bucket_end, day_end - 1)
 
 
+def tick_totals(
+    facts: DataFrame,
+    by: list[str],
+    measures: Measures,
+    ts: str = "ts",
+    offset_hours: int = times.BUSINESS_OFFSET_HOURS,
+    refresh_ms: int = REFRESH_MS,
+) -> DataFrame:
+    """Totals of single refresh intervals per business day and ``by``."""
+    sums = [(F.count(F.lit(1)) if c is None else F.sum(c)).alias(name) for name, c in measures.items()]
+    ticked = facts.withColumns(
+        {DAY: times.day_number(ts, offset_hours), "tick_ms": tick(F.col(ts), offset_hours, refresh_ms).cast("bigint")}
+    )
+    return ticked.groupBy(DAY, *by, "tick_ms").agg(*sums)
+
+
+def accumulate_ticks(
+    ticks: DataFrame,
+    keys: list[str],
+    measures: Measures,
+    offset_hours: int = times.BUSINESS_OFFSET_HOURS,
+    refresh_ms: int = REFRESH_MS,
+    dense: bool = False,
+) -> DataFrame:
+    """Totals of single intervals -> running totals of the day."""
+    order = Window.partitionBy(DAY, *keys).orderBy("tick_ms")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    kinds = {f.name: f.dataType for f in ticks.schema.fields}
+    running = ticks.withColumns({name: F.sum(name).over(so_far).cast(kinds[name]) for name in measures})
+    if dense:
+        # Each total is repeated until the tick before the next change, or to the day's end.
+        none = F.array().cast("array<bigint>")
+        running = running.withColumn("_next", F.lead("tick_ms").over(order))
+        closing = times.day_end_ms(DAY, offset_hours) - 1
+        until = F.coalesce(F.col("_next"), closing) - 1
+        step = F.lit(refresh_ms).cast("bigint")
+        regular = F.when(F.col("tick_ms") <= until, F.sequence(F.col("tick_ms"), until, step)).otherwise(none)
+        last = F.when(F.col("_next").isNull(), F.array(closing)).otherwise(none)
+        running = running.withColumn("tick_ms", F.explode(F.concat(regular, last)))
+    return running.select(DAY, *keys, "tick_ms", *measures)
+
+
 def running_snapshots(
     facts: DataFrame,
     keys: list[str],
@@ -104,32 +147,10 @@ def running_snapshots(
     Rows are reduced to one per tick before the running sum, which bounds a group at one
     row per refresh interval of a day however many facts it has.
     """
-    ticked = facts.withColumns(
-        {DAY: times.day_number(ts, offset_hours), "tick_ms": tick(F.col(ts), offset_hours, refresh_ms).cast("bigint")}
-    )
-    sums = [(F.count(F.lit(1)) if c is None else F.sum(c)).alias(name) for name, c in measures.items()]
-    changes = ticked.groupBy(DAY, *keys, "tick_ms").agg(*sums)
-    if dense:
-        day_end = times.day_end_ms(DAY, offset_hours)
-        # From one change to the tick before the next, or to the end of the day.
-        following = F.lead("tick_ms").over(Window.partitionBy(DAY, *keys).orderBy("tick_ms"))
-        changes = changes.withColumns({"_next": following, "_end": day_end - 1})
-    window = Window.partitionBy(DAY, *keys).orderBy("tick_ms").rowsBetween(Window.unboundedPreceding, 0)
-    running = changes.withColumns(
-        {name: F.sum(name).over(window).cast("bigint" if c is None else changes.schema[name].dataType) for name, c in measures.items()}
-    )
-    if dense:
-        last = F.coalesce(F.col("_next") - 1, F.col("_end") - 1)
-        regular = F.when(
-            F.col("tick_ms") <= last, F.sequence(F.col("tick_ms"), last, F.lit(refresh_ms).cast("bigint"))
-        ).otherwise(F.array().cast("array<bigint>"))
-        closing = F.when(F.col("_next").isNull(), F.array("_end")).otherwise(F.array().cast("array<bigint>"))
-        running = running.withColumn("tick_ms", F.explode(F.concat(regular, closing)))
-    return running.select(DAY, *keys, "tick_ms", *measures)
+    ticks = tick_totals(facts, keys, measures, ts, offset_hours, refresh_ms)
+    return accumulate_ticks(ticks, keys, measures, offset_hours, refresh_ms, dense)
 
 
 def latest_published(mart: DataFrame, keys: list[str]) -> DataFrame:
     """Appended mart rows -> the newest version of each day and key."""
-    from parcelflow.operators.latest import latest_by
-
     return latest_by(mart, ["cur_date", *keys], ["ts"])

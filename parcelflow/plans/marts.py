@@ -14,7 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import times
-from parcelflow.operators.daily import Measures, merge_totals, partial_totals, running_snapshots, with_day_columns
+from parcelflow.operators.daily import (
+    DAY,
+    Measures,
+    accumulate_ticks,
+    merge_totals,
+    partial_totals,
+    tick_totals,
+    with_day_columns,
+)
 from parcelflow.operators.lookup import lookup, org_city, region_chain
 from parcelflow.sources.schemas import MARTS, conform
 
@@ -206,7 +214,11 @@ def mart_snapshots(
     dense: bool = False,
 ) -> DataFrame:
     """Every running total a mart publishes during the day: keys, ``tick_ms``, measures."""
-    rows = at_grain(facts, mart)
-    if mart.before is not None:
-        rows = mart.before(rows, dims)
-    return running_snapshots(rows, list(mart.keys), mart.measures, offset_hours=offset_hours, dense=dense)
+    rows, grain, keys = at_grain(facts, mart), list(mart.grain), list(mart.keys)
+    if mart.before is not None and not mart.reduce_first:
+        rows, grain = mart.before(rows, dims), keys
+    ticks = tick_totals(rows, grain, mart.measures, offset_hours=offset_hours)
+    if mart.before is not None and mart.reduce_first:
+        sums = [F.sum(name).alias(name) for name in mart.measures]
+        ticks = mart.before(ticks, dims).groupBy(DAY, *keys, "tick_ms").agg(*sums)
+    return accumulate_ticks(ticks, keys, mart.measures, offset_hours, dense=dense)

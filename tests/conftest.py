@@ -9,9 +9,9 @@ from parcelflow.session import build_session
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[4]",
+        "local[3]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
