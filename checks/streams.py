@@ -104,7 +104,8 @@ def stream_mart_keyed_final(spark, sf_dir):
     run_to_end(spark, first)
     layout = spark.read.parquet(f"{folder}/keyed").drop("batch_id").schema
     keyed = read_folder(spark, f"{folder}/keyed", layout, recursiveFileLookup="true", **EVERYTHING)
-    job = jobs.mart_job(keyed, mart, lambda: dims, append_mart(f"{folder}/mart"), f"{folder}/checkpoint-mart")
+    sink = append_mart(f"{folder}/mart", by_day=False)
+    job = jobs.mart_job(keyed, mart, lambda: dims, sink, f"{folder}/checkpoint-mart")
     run_to_end(spark, job)
     return latest_published(read_mart(spark, f"{folder}/mart", mart.table), ["org_id"]).drop("ts")
 

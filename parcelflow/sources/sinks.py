@@ -56,14 +56,14 @@ def stream_to_console(df: DataFrame, rows: int = 20) -> DataStreamWriter:
 # --- folders kept by batch -------------------------------------------------------------------
 
 
-def _replace_batch(rows: DataFrame, batch_id: int, path: str, column: str) -> None:
-    """Write a batch below ``column=.../batch_id=...``, replacing what an earlier try left there.
+def _replace_batch(rows: DataFrame, batch_id: int, path: str, *columns: str) -> None:
+    """Write a batch below ``<columns>/batch_id=...``, replacing what an earlier try left there.
 
     The rebalance gives each folder few files of moderate size: small ones are merged,
     and a folder with most of the rows is split over several tasks.
     """
-    target = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint("rebalance", F.col(column))
-    writer = target.write.partitionBy(column, "batch_id").mode("overwrite")
+    target = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint("rebalance", *[F.col(c) for c in columns])
+    writer = target.write.partitionBy(*columns, "batch_id").mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
@@ -104,11 +104,16 @@ def fan_out_to_topics(
 # --- marts -----------------------------------------------------------------------------------
 
 
-def append_mart(path: str) -> BatchWriter:
-    """Append finished mart rows by day; the versions of a day's total differ in ``ts``."""
+def append_mart(path: str, by_day: bool = True) -> BatchWriter:
+    """Append finished mart rows; the versions of a day's total differ in ``ts``.
+
+    A folder per day suits live marts, whose batches touch a day or two.  A catch-up over
+    years in one batch is better off without (``by_day=False``).
+    """
+    columns = ["cur_date"] if by_day else []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _replace_batch(batch, batch_id, path, "cur_date")
+        _replace_batch(batch, batch_id, path, *columns)
 
     return write
 
@@ -128,7 +133,7 @@ def append_mart_jdbc(url: str, table: str, driver: str, **options: str) -> Batch
 
 
 def read_mart(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """All appended versions of a mart; a filter on ``cur_date`` prunes to its folders."""
+    """All appended versions of a mart; with folders by day a filter on ``cur_date`` prunes."""
     return spark.read.schema(StructType(written_fields(MARTS[table]))).parquet(path).drop("batch_id")
 
 
