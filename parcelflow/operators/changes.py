@@ -106,13 +106,20 @@ def order_within_key(changes: DataFrame, key: Column, partitions: int | None = N
     return keyed.repartitionByRange(*parts).sortWithinPartitions("_key", "ts").drop("_key")
 
 
+#: A routing config has one row per source table; up to this many rows every task gets a copy.
+MAX_ROUTES_SENT = 10_000
+
+
 def route(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Attach the routing row of each change; unrouted changes are dropped.
 
-    The join carries no hint: the config's size is checked by the optimizer, which
-    broadcasts it while it stays below ``spark.sql.autoBroadcastJoinThreshold``.
+    The config is counted first.  Its sources (a database, a feed's current state) tell
+    the optimizer nothing about its size, and a shuffle by table name would put most
+    changes into a few tasks.  A config beyond the limit is joined as Spark sees fit.
     """
-    return changes.join(config.withColumnRenamed("source_table", "table"), "table")
+    routes = config.withColumnRenamed("source_table", "table")
+    few = routes.limit(MAX_ROUTES_SENT + 1).count() <= MAX_ROUTES_SENT
+    return changes.join(F.broadcast(routes) if few else routes, "table")
 
 
 def split_list(c: Column | str) -> Column:
