@@ -3,11 +3,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.operators import carry
-from parcelflow.operators.changes import order_within_key
+from parcelflow.operators import carry, changes as change_operators
+from parcelflow.operators.changes import order_within_key, route
 from parcelflow.operators.daily import daily_totals, running_snapshots
 from parcelflow.operators.latest import first_by, latest_by
 from parcelflow.operators.lookup import lookup
+from parcelflow.operators.transitions import emit_facts, split_by
 
 
 @pytest.mark.parametrize("hot_rows", [None, 1, 7, 50, 10_000])
@@ -101,3 +102,20 @@ def test_order_within_key_keeps_histories_in_order(spark, tmp_path):
         seen.setdefault(r.id, []).append(r.ts)
     assert all(ts == sorted(ts) for ts in seen.values()) and sum(map(len, seen.values())) == 300
     assert len({r.p for r in partitions if r.id == "hot"}) > 1
+
+
+def test_large_config_is_not_broadcast(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("x", 3)], "table STRING, n BIGINT")
+    config = spark.createDataFrame([("a", "dim_a"), ("b", "dim_b")], "source_table STRING, sink_table STRING")
+    for limit, hinted in ((10, True), (1, False)):
+        monkeypatch.setattr(change_operators, "MAX_ROUTES_SENT", limit)
+        routed = route(rows, config)
+        assert ("ResolvedHint" in routed._jdf.queryExecution().analyzed().toString()) == hinted
+        assert sorted((r.sink_table, r.n) for r in routed.collect()) == [("dim_a", 1), ("dim_b", 2)]
+
+
+def test_one_change_may_give_several_facts(spark):
+    rows = spark.range(4)
+    even, big = F.col("id") % 2 == 0, F.col("id") > 1
+    parts = split_by(emit_facts(rows, {"even": even, "big": big}), ["even", "big"])
+    assert {name: sorted(r.id for r in df.collect()) for name, df in parts.items()} == {"even": [0, 2], "big": [2, 3]}
