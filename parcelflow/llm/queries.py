@@ -7,19 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import exact, language, mixing, packing, secrets
+from parcelflow.llm import exact, language, minhash, mixing, packing, secrets, substring
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = language.train(docs.where(~language.held_out()))
     return language.identify(docs, model).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf_dir))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(_documents(spark, sf_dir))
 
@@ -37,7 +45,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op5_secret_scan, op6_packing, op7_mixing, op10_exact_dedup)
+    f.__name__: f
+    for f in (op1_substring_dedup, op2_language_id, op4_minhash_dedup, op5_secret_scan, op6_packing, op7_mixing, op10_exact_dedup)
 }
 
 ORACLE = {
