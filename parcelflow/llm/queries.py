@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import exact, language, minhash, mixing, packing, secrets, substring
+from parcelflow.llm import embeddings, exact, language, minhash, mixing, packing, secrets, substring
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
@@ -46,7 +50,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_language_id, op4_minhash_dedup, op5_secret_scan, op6_packing, op7_mixing, op10_exact_dedup)
+    for f in (op1_substring_dedup, op2_language_id, op3_embedding_dedup, op4_minhash_dedup, op5_secret_scan, op6_packing, op7_mixing, op10_exact_dedup)
 }
 
 ORACLE = {
