@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import embeddings, exact, language, minhash, mixing, packing, secrets, substring
+from parcelflow.llm import embeddings, exact, language, lines, minhash, mixing, packing, secrets, substring
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,13 +44,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = lines.drop_repeated_lines(_documents(spark, sf_dir))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_language_id, op3_embedding_dedup, op4_minhash_dedup, op5_secret_scan, op6_packing, op7_mixing, op10_exact_dedup)
+    for f in (op1_substring_dedup, op2_language_id, op3_embedding_dedup, op4_minhash_dedup, op5_secret_scan, op6_packing, op7_mixing, op9_line_dedup, op10_exact_dedup)
 }
 
 ORACLE = {
