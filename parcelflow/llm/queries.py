@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import embeddings, exact, language, lines, minhash, mixing, packing, secrets, substring
+from parcelflow.llm import embeddings, exact, language, licenses, lines, minhash, mixing, packing, secrets, substring
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +44,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a folder per source, the id as the name."""
+    docs = _documents(spark, sf_dir)
+    return licenses.scan_licenses(docs.select("doc_id", F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), "text"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = lines.drop_repeated_lines(_documents(spark, sf_dir))
     return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -55,7 +61,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_language_id, op3_embedding_dedup, op4_minhash_dedup, op5_secret_scan, op6_packing, op7_mixing, op9_line_dedup, op10_exact_dedup)
+    for f in (op1_substring_dedup, op2_language_id, op3_embedding_dedup, op4_minhash_dedup, op5_secret_scan, op6_packing, op7_mixing, op8_license_scan, op9_line_dedup, op10_exact_dedup)
 }
 
 ORACLE = {
