@@ -27,15 +27,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = language.identify(docs, model)
     bad = (F.col("lang_pred") == language.UNDETERMINED) | (F.col("bits_per_byte") >= MOST_BITS_PER_BYTE)
     rejected = found.where(bad).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti").select(*docs.columns)
+    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_id"]), "left_anti")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes repeated lines; a document all of whose lines go stays with an empty text."""
-    left = lines.drop_repeated_lines(docs)
-    if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return left.select(*docs.columns)
+    return lines.drop_repeated_lines(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

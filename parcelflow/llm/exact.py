@@ -63,6 +63,5 @@ def exact_duplicates(docs: DataFrame, first_bytes: int = FIRST_BYTES) -> DataFra
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The documents of which no equal text with a larger doc_id exists, all columns."""
-    columns = docs.columns
-    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi").select(*columns)
+    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")

@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelflow.llm.columns import given_back, set_aside
 from parcelflow.session import work_dir
 
 MAX_EDITS = 1
@@ -165,17 +166,8 @@ def near_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     return out.unionByName(out.select(F.col("h2").alias("h"), F.col("g2").alias("g"), F.col("h").alias("h2"), F.col("g").alias("g2"))).distinct()
 
 
-def drop_repeated_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
-    """The columns of ``docs`` with the lines left as ``text``, and n_lines, n_removed.
-
-    Lines end at newlines and are ordered by doc_id and position.  A line of at least
-    ``EXACT_CHARS`` characters goes if an equal line comes earlier, anywhere; one of at
-    least ``NEAR_CHARS`` also if an earlier such line is within ``edits`` edits of it.
-    Earlier lines count whether or not they go themselves.  Null texts stay null and have
-    no lines, an empty text has one empty line.  Documents with a null id are neither cut
-    nor compared.  Rows that repeat an id are not earlier than each other.  Lines are
-    named by 128 bits of hash.  Other columns are passed through.
-    """
+def _cut_lines(docs: DataFrame, edits: int) -> tuple[DataFrame, Column, Column, Column]:
+    """``docs`` set aside with the lines that go; the text left, the number of lines, and of those gone."""
     spark = docs.sparkSession
     folder = work_dir(spark, "line-dedup")
 
@@ -190,19 +182,38 @@ def drop_repeated_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     known = firsts.join(others, ["h", "g"], "left").where("n > 1 OR near < first")
     known = stored(known.select("h", "g", F.least("first", "near").alias("first")), "known")
     gone = _lines(docs).select("doc_id", "version", "pos", "h", "g", "place").join(known, ["h", "g"]).where("place > first")
-    gone = gone.groupBy(F.col("doc_id").alias("_doc"), F.col("version").alias("_version")).agg(F.collect_set("pos").alias("_gone"))
-    gone = stored(gone, "gone")
-    columns = [c for c in docs.columns if c != "text"]
-    rows = docs.select(*[F.col(c).alias(f"_in_{c}") for c in columns], F.col("text").alias("_text"))
-    same = (F.col("_in_doc_id") == F.col("_doc")) & (F.xxhash64("_text") == F.col("_version"))
-    joined = rows.join(gone, same, "left")
-    every = F.split("_text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(every, i)), "\n"))
-    n_lines = F.when(F.col("_text").isNull(), 0).otherwise(F.size(every)).cast("long")
-    return joined.select(
-        *[F.col(f"_in_{c}").alias(c) for c in columns],
-        text.alias("text"),
-        n_lines.alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
-    )
+    gone = stored(gone.groupBy("doc_id", "version").agg(F.collect_set("pos").alias("gone")), "gone")
+    same = (F.col("_in_doc_id") == F.col("doc_id")) & (F.xxhash64("_in_text") == F.col("version"))
+    joined = set_aside(docs).join(gone, same, "left")
+    every = F.split("_in_text", "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("gone"))
+    text = F.when(F.col("gone").isNull(), F.col("_in_text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(every, i)), "\n"))
+    n_lines = F.when(F.col("_in_text").isNull(), 0).otherwise(F.size(every)).cast("long")
+    return joined, text, n_lines, F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long")
+
+
+def line_report(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
+    """One row per document: doc_id, text (the lines left), n_lines, n_removed.
+
+    Lines end at newlines and are ordered by doc_id and position.  A line of at least
+    ``EXACT_CHARS`` characters goes if an equal line comes earlier, anywhere; one of at
+    least ``NEAR_CHARS`` also if an earlier such line is within ``edits`` edits of it.
+    Earlier lines count whether or not they go themselves.  Null texts stay null and have
+    no lines, an empty text has one empty line.  Documents with a null id are neither cut
+    nor compared.  Rows that repeat an id are not earlier than each other.  Lines are
+    named by 128 bits of hash.  Other columns are not read.
+    """
+    joined, text, n_lines, n_removed = _cut_lines(docs.select("doc_id", "text"), edits)
+    return joined.select(F.col("_in_doc_id").alias("doc_id"), text.alias("text"), n_lines.alias("n_lines"), n_removed.alias("n_removed"))
+
+
+def drop_repeated_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
+    """``docs`` without the lines that ``line_report`` removes, columns as given.
+
+    ``n_chars``, if there is one, follows the text of documents that lost lines.
+    """
+    joined, text, _, _ = _cut_lines(docs, edits)
+    new = {"text": text}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("gone").isNull(), F.col("_in_n_chars")).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType))
+    return joined.select(*given_back(docs.columns, **new))

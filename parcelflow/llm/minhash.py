@@ -248,6 +248,5 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
 
     Documents with a null id stay.
     """
-    columns = docs.columns
     gone = near_duplicates(docs).where("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti").select(*columns)
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelflow.llm.columns import given_back, set_aside
 from parcelflow.session import work_dir
 
 #: Weights given to the sources in their order, over and over.
@@ -138,22 +139,21 @@ def take_mix(docs: DataFrame) -> DataFrame:
     """The mixed corpus: documents repeated as often as taken, columns as in ``docs``.
 
     The one document of a source that is taken in part has its text cut after as many
-    words; documents not taken are left out.  Rows that repeat an id share its number.
+    words (and ``n_chars`` set, if there is one); documents not taken are left out.  Rows
+    equal in id, source and size share their number.
     """
-    columns = docs.columns
-    shares = mix_sources(docs).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(
-        F.max("taken").alias("_taken")
-    )
-    count = F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("long")
-    joined = docs.withColumn("_words", count).join(
-        shares, docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size"))
-    )
-    whole = F.when(F.col("_size") > 0, F.floor(F.col("_taken") / F.col("_size"))).otherwise(0)
-    part = F.when(F.col("_size") > 0, F.col("_taken") % F.col("_size")).otherwise(0)
-    copies = joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0).cast("long"), whole.cast("int")))).withColumn("_part", F.lit(0).cast("long"))
-    cut = joined.where(part > 0).withColumn("_copy", F.lit(0).cast("long")).withColumn("_part", part)
-    head = F.concat_ws(" ", F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), 1), 1, F.col("_part").cast("int")))
-    cut = cut.withColumn("text", head)
-    if "n_chars" in columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return copies.select(*columns).unionByName(cut.select(*columns))
+    shares = mix_sources(docs).groupBy("doc_id", "source", "size").agg(F.max("taken").alias("taken"))
+    rows = set_aside(docs)
+    rows = rows.withColumn("words", F.coalesce(F.regexp_count("_in_text", F.lit(WORD)), F.lit(0)).cast("long"))
+    same = F.col("_in_doc_id").eqNullSafe(F.col("doc_id")) & F.col("_in_source").eqNullSafe(F.col("source")) & (F.col("words") == F.col("size"))
+    joined = rows.join(shares.where("taken > 0"), same)
+    times = F.floor(F.col("taken") / F.col("size")).cast("int")
+    part = (F.col("taken") % F.col("size")).cast("int")
+    repeats = F.concat(F.array_repeat(F.lit(0), times), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
+    copies = joined.withColumn("part", F.explode(repeats))
+    head = F.array_join(F.slice(F.regexp_extract_all("_in_text", F.lit(f"({WORD})"), 1), 1, F.greatest(F.col("part"), F.lit(1))), " ")
+    cut = F.col("part") > 0
+    new = {"text": F.when(cut, head).otherwise(F.col("_in_text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(cut, F.length(head).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_in_n_chars"))
+    return copies.select(*given_back(docs.columns, **new))

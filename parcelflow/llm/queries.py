@@ -51,7 +51,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = lines.drop_repeated_lines(_documents(spark, sf_dir))
+    left = lines.line_report(_documents(spark, sf_dir))
     return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
