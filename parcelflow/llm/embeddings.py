@@ -281,7 +281,7 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, cell_poin
         whole = whole.unionByName(more)
     # a leaf has at most ``cell_points`` points, whatever number of pieces
     whole = whole.groupBy("cell").agg(F.collect_list(F.struct("ids", "weights", "data")).alias("all"))
-    joined = [F.aggregate("all", F.lit(b""), lambda s, p, c=c: F.concat(s, p[c])).alias(c) for c in ("ids", "weights", "data")]
+    joined = [F.expr(f"aggregate(all, X'', (s, p) -> concat(s, p.{c}))").alias(c) for c in ("ids", "weights", "data")]
     whole = stored(whole.select("cell", *joined), "leaves")
     for end in "ab":
         pairs = pairs.join(whole.select(*[F.col(c).alias(f"{c}_{end}") for c in ("cell", "ids", "weights", "data")]), f"cell_{end}")

@@ -25,8 +25,6 @@ EXACT_CHARS = 16
 NEAR_CHARS = 30
 #: Lines that are compared with each other for one key; larger groups are split again.
 GROUP_LINES = 32
-#: What a key leaves of a line is not split below so many characters.
-LEAST_REST = 4
 #: Bits that say which keys several lines share; the table sent to all tasks has this size at most.
 FILTER_BITS = 1 << 25
 
@@ -146,7 +144,8 @@ def near_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     found, level = [], 0
     while True:
         groups = rows.groupBy("key").agg(F.count("*").alias("n"), F.max(F.length("rest")).alias("longest"))
-        split = (F.col("n") > GROUP_LINES) & (F.col("longest") > LEAST_REST)
+        # below this length segments get so short that what they leave would not shrink
+        split = (F.col("n") > GROUP_LINES) & (F.col("longest") > 3 * edits + 2)
         large = stored(groups.where(split).select("key"), f"large-{level}")
         last = large.isEmpty()
         small = rows if last else rows.join(large, "key", "left_anti")
