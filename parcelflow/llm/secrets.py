@@ -29,7 +29,7 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 #: Contexts in which a value is taken for a credential, with the value as group 1.
 CONTEXTS = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth(?:orization)?|bearer|api[_\x20-]?key|access[_\x20-]?key|private[_\x20-]?key|client[_\x20-]?secret)"""
-    r"""["']?\x20*(?:[:=]|=>|\x20is\x20|\x20bearer\x20|\x20)\x20*["']?([^\s"'<>,;]+)|://[^\s/:@]+:([^\s/@]+)@""",
+    r"""["']?\x20*(?:[:=]|=>|\x20is\x20|\x20bearer\x20|\x20)\x20*(?:(?:bearer|basic)\x20+)?["']?([^\s"'<>,;]+)|://[^\s/:@]+:([^\s/@]+)@""",
     re.ASCII | re.IGNORECASE,
 )
 CONTEXT_WORDS = ("pass", "pwd", "pin", "secret", "token", "credential", "auth", "bearer", "key", "://")
