@@ -12,6 +12,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,8 +27,9 @@ WINDOW = 2048
 END_ID = 1
 #: Pieces packed together.  The windows left open at the end of a group are the padding.
 GROUP_PIECES = 4096
-#: Pre-tokens whose ids a task remembers before it starts anew.
-REMEMBERED = 1 << 18
+#: Pre-tokens whose ids a Python worker remembers before it starts anew, and their longest.
+REMEMBERED = 1 << 19
+REMEMBERED_CHARS = 64
 
 #: The split rule of the vocabulary's byte-level pre-tokenizer, with its classes
 #: of letters, digits and white space spelled out for the characters up to U+024F.
@@ -47,12 +49,19 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_letters() -> dict[int, str]:
+    """How the byte-level vocabulary spells bytes: printable ones as themselves, the others by the letters from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Ids as the tokenizer gives them for whole texts, at the cost of its new pre-tokens.
 
-    A pre-token is encoded once and its ids are remembered, since text repeats its words.
-    Texts with ``OTHERS`` go to the tokenizer whole.  Strings of special
-    tokens in a text are ordinary text.
+    A pre-token is encoded once by the tokenizer's model and its ids are remembered, since
+    text repeats its words.  Texts with ``OTHERS`` go to the tokenizer whole.  Strings of
+    special tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -61,35 +70,43 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model.tokenize
+        self.letters = byte_letters()
         self.split = re.compile(PRE_TOKENS).findall
         self.known: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model(spelled)])
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit values."""
         if OTHERS.search(text):
-            return self._whole(text)
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known, parts = self.known, self.split(text)
         try:
             return b"".join(map(known.__getitem__, parts))
         except KeyError:
-            for x in set(parts):
-                if x not in known:
-                    known[x] = self._whole(x)
-            return b"".join([known[x] for x in parts])
+            new = {x: self._piece(x) for x in set(parts) if x not in known}
+            known.update((x, ids) for x, ids in new.items() if len(x) <= REMEMBERED_CHARS)
+            return b"".join([known[x] if x in known else new[x] for x in parts])
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a Python worker."""
+    return Encoder(path)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+    ids_of, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
     for batch in batches:
         for part in slices(batch):
             rows: list[tuple] = []
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text"), strict=True):
-                ids = encoder.encode(text.as_py() or "") + end
+                ids = ids_of(text.as_py() or "") + end
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     piece = ids[4 * start : 4 * (start + window)]
