@@ -376,6 +376,7 @@ SELECT day, org_id, tick_ms, CAST(sum(v) OVER w AS DECIMAL(38,2)) AS order_amoun
        CAST(sum(n) OVER w AS BIGINT) AS order_count_base
 FROM ticks WINDOW w AS (PARTITION BY day, org_id ORDER BY tick_ms)"""
 ORACLE["stream_order_cargo"] = LIFECYCLE_ROWS
+ORACLE["stream_order_cargo_steps"] = LIFECYCLE_ROWS
 ORACLE["stream_mart_update_final"] = ORACLE["mart_org_sort_day"]
 ORACLE["stream_mart_keyed_final"] = ORACLE["mart_org_order_day"]
 ORACLE["stream_fanout"] = f"""WITH {BOUND}

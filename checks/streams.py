@@ -23,9 +23,8 @@ from parcelflow.streaming.operators import order_fact_stream, running_snapshots_
 #: The whole input in one micro-batch: nothing can be late, so the outcome equals the batch form.
 EVERYTHING = {"maxFilesPerTrigger": "1000000"}
 
-#: State that expires by the clock makes Spark go on with empty batches for ever; a run that
-#: is to stop at the end of its input has to do without them.
-STOP_WHEN_DRAINED = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+#: Micro-batches that a feed in steps comes in.
+STEPS = 8
 
 
 def run_to_end(spark: SparkSession, writer: DataStreamWriter, extra: dict[str, str] | None = None) -> None:
@@ -54,7 +53,28 @@ def stream_order_cargo(spark, sf_dir):
     raw = streamed_feed(spark, folder, feeds.order_feed(table(spark, sf_dir, "events")))
     changes = facts.decode_order_changes(raw)
     paired = order_fact_stream(changes, wait_ms=feeds.FEED_WAIT_MS)
-    run_to_end(spark, stream_to_folder(paired, f"{folder}/facts", f"{folder}/checkpoint"), STOP_WHEN_DRAINED)
+    run_to_end(spark, stream_to_folder(paired, f"{folder}/facts", f"{folder}/checkpoint"))
+    return _lifecycle_columns(spark.read.schema(paired.schema).parquet(f"{folder}/facts"))
+
+
+def feed_in_steps(spark: SparkSession, folder: str, feed: DataFrame) -> DataFrame:
+    """All rows of a feed, in order of arrival, as one file and micro-batch per step."""
+    feed.write.parquet(f"{folder}/whole")
+    whole = spark.read.schema(RAW).parquet(f"{folder}/whole")
+    first, last = whole.agg(F.min("seq"), F.max("seq")).first()
+    step = F.least(F.floor((F.col("seq") - first) * STEPS / F.lit(max(last - first, 1))), F.lit(STEPS - 1))
+    for k in range(STEPS):
+        whole.where(step == k).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
+    return read_folder(spark, f"{folder}/feed", RAW, maxFilesPerTrigger="1")
+
+
+@query
+def stream_order_cargo_steps(spark, sf_dir):
+    """The pairing with its state carried over many micro-batches."""
+    folder = work_dir(spark, "stream-order-steps")
+    raw = feed_in_steps(spark, folder, feeds.order_feed(table(spark, sf_dir, "events")))
+    paired = order_fact_stream(facts.decode_order_changes(raw), wait_ms=feeds.FEED_WAIT_MS)
+    run_to_end(spark, stream_to_folder(paired, f"{folder}/facts", f"{folder}/checkpoint"))
     return _lifecycle_columns(spark.read.schema(paired.schema).parquet(f"{folder}/facts"))
 
 

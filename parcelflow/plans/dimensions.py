@@ -74,7 +74,7 @@ def foreign_values() -> Column:
     before, after = F.col("before"), F.col("after")
     return F.map_from_entries(
         F.transform(
-            F.col("_foreign"),
+            F.array_distinct("_foreign"),
             lambda key: F.struct(
                 key.alias("key"),
                 F.when(before.isNotNull() & ~before[key].eqNullSafe(after[key]), before[key])

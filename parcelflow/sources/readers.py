@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from parcelflow.operators.changes import decode_changes, for_tables
-from parcelflow.sources.schemas import DIMENSION_TABLES, FACT_TABLES, from_wire_json
+from parcelflow.operators.changes import computed_once, decode_changes, for_tables
+from parcelflow.sources.schemas import DIMENSION_TABLES, FACT_TABLES, wire_fields, wire_struct
 
 #: Columns every raw feed has: the text and its position among texts of the same time.
 RAW = "value STRING, seq BIGINT"
@@ -69,5 +69,7 @@ def read_config(spark: SparkSession, path: str | None = None, **jdbc: str) -> Da
 
 
 def facts_from_topic(raw: DataFrame, schema: StructType, keep: Iterable[str] = ()) -> DataFrame:
-    """Fact texts of a topic -> typed rows."""
-    return raw.select(*from_wire_json("value", schema), *keep)
+    """Fact texts of a topic -> typed rows, each text parsed once."""
+    kept = list(keep)
+    parsed = computed_once(raw.select("value", *kept), "_wire", wire_struct("value", schema))
+    return parsed.select(*wire_fields(F.col("_wire"), schema), *kept)

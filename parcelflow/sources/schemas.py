@@ -219,7 +219,19 @@ def to_wire_json(columns: list[str]) -> Column:
 
 
 def from_wire_json(value: Column | str, schema: StructType) -> list[Column]:
-    """Select list that turns :func:`to_wire_json` text back into typed columns."""
+    """Select list that turns :func:`to_wire_json` text back into typed columns.
+
+    The optimizer parses once per column; for wide rows keep :func:`wire_struct` behind
+    ``computed_once``, as the topic reader does.
+    """
+    return wire_fields(wire_struct(value, schema), schema)
+
+
+def wire_struct(value: Column | str, schema: StructType) -> Column:
+    """The text parsed, with the keys it has on the wire."""
     wire = StructType([StructField(camel(f.name), f.dataType) for f in schema.fields])
-    parsed = F.from_json(F.col(value) if isinstance(value, str) else value, wire)
+    return F.from_json(F.col(value) if isinstance(value, str) else value, wire)
+
+
+def wire_fields(parsed: Column, schema: StructType) -> list[Column]:
     return [parsed[camel(f.name)].alias(f.name) for f in schema.fields]

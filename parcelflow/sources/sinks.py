@@ -170,9 +170,11 @@ def read_dimension(spark: SparkSession, path: str, sink_table: str, sink_pk: str
 def compact_dimensions(spark: SparkSession, path: str, target: str) -> None:
     """Write the newest rows of every dimension to a fresh folder, as batch -1.
 
-    Readers and the next upserts then move to ``target``; the old folder stays valid.
+    Deletes are newest rows too and stay, so that an older change that comes later does
+    not bring its key back.  Readers and the next upserts then move to ``target``; the old
+    folder stays valid.
     """
-    rows = latest_by(_log(spark, path), ["sink_table", "pk"], ["ts", "seq", "batch_id"]).where(F.col("op") != "d")
+    rows = latest_by(_log(spark, path), ["sink_table", "pk"], ["ts", "seq", "batch_id"])
     _replace_batch(rows.drop("batch_id"), -1, target, "sink_table")
 
 

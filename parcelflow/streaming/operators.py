@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DecimalType, LongType, StructField, StructType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, StructField, StructType
 
 from parcelflow.functions import times
 from parcelflow.operators.changes import computed_once
@@ -16,20 +16,16 @@ from parcelflow.plans.facts import finish_order_facts, order_events
 from parcelflow.sources.schemas import MONEY_SUM, ORDER_CARGO, ORDER_INFO
 from parcelflow.streaming.processors import PAIRED_SCHEMA, DayRefreshProcessor, OrderCargoProcessor, combine_ticks
 
-#: How long a waiting order stays in state; must outlast the micro-batch interval.
-WAITING_TTL_MS = 10 * 60_000
-
 
 def order_fact_stream(
     changes: DataFrame,
     lifecycle: Lifecycle = ORDER_LIFECYCLE,
     wait_ms: int = ORDER_WAIT_MS,
-    ttl_ms: int = WAITING_TTL_MS,
 ) -> DataFrame:
     """Streaming form of :func:`parcelflow.plans.facts.order_facts`.
 
-    Whether cargo came in time is decided on event time as in the batch form; ``ttl_ms``
-    of processing time only limits what the state keeps.
+    Whether cargo came in time is decided on event time as in the batch form, never by the
+    clock.
     """
     events = relevant_events(order_events(changes), lifecycle)
     is_order = F.col("order").isNotNull()
@@ -42,8 +38,8 @@ def order_fact_stream(
         F.col("_change").alias("change"),
         F.when(is_order, F.to_json("order")).otherwise(F.to_json("cargo")).alias("image"),
     )
-    processor = OrderCargoProcessor(lifecycle.created_fact, lifecycle.closing_facts, wait_ms, max(ttl_ms, wait_ms))
-    paired = rows.groupBy("key").transformWithStateInPandas(processor, PAIRED_SCHEMA, "Append", "ProcessingTime")
+    processor = OrderCargoProcessor(lifecycle.created_fact, lifecycle.closing_facts, wait_ms)
+    paired = rows.groupBy("key").transformWithStateInPandas(processor, PAIRED_SCHEMA, "Append", "None")
     images = F.struct(F.from_json("order", ORDER_INFO).alias("order"), F.from_json("cargo", ORDER_CARGO).alias("cargo"))
     parsed = computed_once(paired.select("fact_type", F.col("order"), F.col("cargo")), "_images", images)
     return finish_order_facts(parsed.select("fact_type", "_images.order", "_images.cargo"))
@@ -78,20 +74,34 @@ def daily_totals_stream(
     return totals.select(day.alias(DAY), *keys, *[F.col(f"_first.{c}").alias(c) for c in carried], *measures)
 
 
-def _as_long(facts: DataFrame, source: str | None) -> Column:
-    """A measure as a whole number: 1 per row, a count, or a decimal in its last place."""
+def _state_kind(facts: DataFrame, source: str | None) -> str:
+    """Fractions are summed as doubles; counts, whole numbers and decimals (in their last place) as longs."""
+    return "DOUBLE" if source is not None and isinstance(facts.schema[source].dataType, (DoubleType, FloatType)) else "BIGINT"
+
+
+def _state_value(facts: DataFrame, source: str | None) -> Column:
+    """What a row adds to a measure's state; nulls add nothing."""
     if source is None:
         return F.lit(1).cast("bigint")
     kind = facts.schema[source].dataType
     scale = 10**kind.scale if isinstance(kind, DecimalType) else 1
-    return F.coalesce((F.col(source) * scale).cast("bigint"), F.lit(0).cast("bigint"))
+    value = F.col(source) * scale if scale > 1 else F.col(source)
+    return F.coalesce(value.cast(_state_kind(facts, source)), F.lit(0).cast(_state_kind(facts, source)))
 
 
-def _from_long(facts: DataFrame, name: str, source: str | None) -> Column:
-    kind = facts.schema[source].dataType if source is not None else LongType()
+def _from_state(facts: DataFrame, name: str, source: str | None) -> Column:
+    """The published total: null, as in the batch form, until a value that is not null came."""
+    if source is None:
+        return F.col(name)
+    kind, total = facts.schema[source].dataType, F.col(name)
     if isinstance(kind, DecimalType):
-        return (F.col(name).cast(MONEY_SUM) / 10**kind.scale).cast(MONEY_SUM).alias(name)
-    return F.col(name)
+        total = (total.cast(MONEY_SUM) / 10**kind.scale).cast(MONEY_SUM)
+    return F.when(F.col(_seen(name)) > 0, total).alias(name)
+
+
+def _seen(name: str) -> str:
+    """State column that counts a measure's values; frames of stateful operators rename leading underscores."""
+    return f"{name}__seen"
 
 
 def running_snapshots_stream(
@@ -108,15 +118,18 @@ def running_snapshots_stream(
     inside their task first, so a mart without a key does not funnel its rows into one.
     """
     timed = with_event_time(facts, delay)
-    values = [_as_long(facts, source).alias(name) for name, source in measures.items()]
+    summed = {name: source for name, source in measures.items() if source is not None}
+    values = [_state_value(facts, source).alias(name) for name, source in measures.items()]
+    values += [F.col(source).isNotNull().cast("bigint").alias(_seen(name)) for name, source in summed.items()]
+    kinds = {name: _state_kind(facts, source) for name, source in measures.items()} | {_seen(name): "BIGINT" for name in summed}
     day = times.day_number("ts", offset_hours).alias(DAY)
     ticked = timed.select(*keys, day, tick(F.col("ts"), offset_hours, refresh_ms).cast("bigint").alias("tick_ms"), *values)
-    columns, names = [*keys, DAY], list(measures)
+    columns, names = [*keys, DAY], list(kinds)
     layout = StructType([StructField(f.name, f.dataType) for f in ticked.schema.fields])
     combined = ticked.mapInPandas(combine_ticks(columns, names), layout)
-    processor = DayRefreshProcessor(columns, names, refresh_ms, offset_hours * times.HOUR_MS)
+    processor = DayRefreshProcessor(columns, kinds, refresh_ms, offset_hours * times.HOUR_MS)
     published = combined.groupBy(*columns).transformWithStateInPandas(processor, layout, "Append", "EventTime")
-    return published.select(DAY, *keys, "tick_ms", *[_from_long(facts, n, s) for n, s in measures.items()])
+    return published.select(DAY, *keys, "tick_ms", *[_from_state(facts, n, s) for n, s in measures.items()])
 
 
 def late_rows(query: StreamingQuery) -> int:

@@ -23,19 +23,20 @@ class OrderCargoProcessor(StatefulProcessor):
     """Pairs the events of one order: see ``operators.order_cargo`` for the rules.
 
     Input rows: key, ts, seq, is_order, op, change (fact of a status change or null),
-    image (JSON).  State: the latest cargo, without expiry until the order is closed,
-    and an order waiting for cargo, forgotten ``ttl_ms`` after it arrived.
+    image (JSON).  State: the latest cargo, until the order is closed, and an order
+    waiting for cargo.  The wait is judged on event time only, however long a micro-batch
+    or an outage takes; a waiting order is forgotten when a closing change of its key
+    shows that the wait is over, or replaced by the next creation.
     """
 
-    def __init__(self, created_fact: str, closing_facts: tuple[str, ...], wait_ms: int, ttl_ms: int):
+    def __init__(self, created_fact: str, closing_facts: tuple[str, ...], wait_ms: int):
         self.created_fact = created_fact
         self.closing_facts = set(closing_facts)
         self.wait_ms = wait_ms
-        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.cargo = handle.getValueState("cargo", "image STRING")
-        self.waiting = handle.getValueState("waiting", "image STRING, ts BIGINT", self.ttl_ms)
+        self.waiting = handle.getValueState("waiting", "image STRING, ts BIGINT")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # A key's events of one micro-batch, whose size the source's admission limit bounds.
@@ -53,18 +54,21 @@ class OrderCargoProcessor(StatefulProcessor):
                         waiting = (e.image, int(e.ts))
                     else:
                         out.append((key[0], self.created_fact, e.image, cargo, e.ts, e.seq))
-                elif e.op == "u" and cargo is not None and change is not None:
-                    out.append((key[0], change, e.image, cargo, e.ts, e.seq))
+                elif e.op == "u" and change is not None:
+                    if cargo is not None:
+                        out.append((key[0], change, e.image, cargo, e.ts, e.seq))
                     if change in self.closing_facts:
                         cargo = None
+                        if waiting is not None and e.ts - waiting[1] >= self.wait_ms:
+                            waiting = None
             elif e.op == "c":
                 cargo = e.image
                 if waiting is not None and e.ts - waiting[1] < self.wait_ms:
                     out.append((key[0], self.created_fact, waiting[0], cargo, e.ts, e.seq))
         if cargo != before[0]:
             self.cargo.clear() if cargo is None else self.cargo.update((cargo,))
-        if waiting != before[1] and waiting is not None:
-            self.waiting.update(waiting)
+        if waiting != before[1]:
+            self.waiting.clear() if waiting is None else self.waiting.update(waiting)
         if out:
             yield pd.DataFrame(out, columns=["key", "fact_type", "order", "cargo", "ts", "seq"])
 
@@ -75,22 +79,23 @@ class OrderCargoProcessor(StatefulProcessor):
 class DayRefreshProcessor(StatefulProcessor):
     """Publishes the running total of one key and day at every refresh of event time.
 
-    Input rows: the key columns, day, tick_ms, and the measures (long) already summed per
-    tick.  State: the sums of ticks not yet published, and the total of those that are.
+    Input rows: the key columns, day, tick_ms, and the measures (``measures`` maps each to
+    BIGINT or DOUBLE) already summed per tick.  State: the sums of ticks not yet published, and the total of those that are.
     When a timer fires, every tick the watermark has passed is published in order and a
     timer for the next open tick is set.  A row that comes after its tick was published
     joins the next one; one that comes after its day is over is dropped.
     """
 
-    def __init__(self, columns: list[str], measures: list[str], refresh_ms: int, offset_ms: int):
+    def __init__(self, columns: list[str], measures: dict[str, str], refresh_ms: int, offset_ms: int):
         self.columns = columns
-        self.measures = measures
+        self.measures = list(measures)
+        self.kinds = measures
         self.refresh_ms = refresh_ms
         self.offset_ms = offset_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        sums = ", ".join(f"{m} BIGINT" for m in self.measures)
+        sums = ", ".join(f"{m} {kind}" for m, kind in self.kinds.items())
         self.open = handle.getListState("open", f"tick_ms BIGINT, {sums}")
         self.total = handle.getValueState("total", sums)
 
@@ -98,7 +103,12 @@ class DayRefreshProcessor(StatefulProcessor):
         return (int(key[-1]) + 1) * 86_400_000 - self.offset_ms - 1
 
     def _by_tick(self, frames: list[pd.DataFrame]) -> pd.DataFrame:
-        return pd.concat(frames)[["tick_ms", *self.measures]].groupby("tick_ms", as_index=False).sum().astype("int64")
+        whole = {c: "int64" for c in ["tick_ms", *self.measures] if self.kinds.get(c) != "DOUBLE"}
+        return pd.concat(frames)[["tick_ms", *self.measures]].groupby("tick_ms", as_index=False).sum().astype(whole)
+
+    def _rows(self, frame: pd.DataFrame) -> list[tuple]:
+        """Rows as Python numbers, each column in its own type."""
+        return list(zip(*(frame[c].tolist() for c in frame.columns), strict=True))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         watermark, last = timerValues.getCurrentWatermarkInMs(), self._last_tick(key)
@@ -108,7 +118,7 @@ class DayRefreshProcessor(StatefulProcessor):
             for frame in rows:
                 frame = frame.assign(tick_ms=frame["tick_ms"].clip(lower=upcoming))
                 added = self._by_tick([frame] if added is None else [added, frame])
-            self.open.appendList([tuple(r) for r in added.to_numpy().tolist()])
+            self.open.appendList(self._rows(added))
             self.handle.registerTimer(int(added["tick_ms"].min()))
             self.handle.registerTimer(last)
         yield from ()
@@ -122,9 +132,9 @@ class DayRefreshProcessor(StatefulProcessor):
             if len(due):
                 total = self.total.get() or (0,) * len(self.measures)
                 running = due[self.measures].cumsum() + list(total)
-                self.total.update(tuple(int(v) for v in running.iloc[-1]))
+                self.total.update(self._rows(running.tail(1))[0])
                 if len(ahead):
-                    self.open.put([tuple(r) for r in ahead.to_numpy().tolist()])
+                    self.open.put(self._rows(ahead))
                 else:
                     self.open.clear()
                 names = {c: v for c, v in zip(self.columns, key)}

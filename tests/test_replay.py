@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from checks.streams import EVERYTHING, STOP_WHEN_DRAINED, run_to_end
+from checks.streams import EVERYTHING, run_to_end
 from parcelflow.operators.changes import decode_changes, drop_unusable, encode_changes
 from parcelflow.plans import dimensions, facts
 from parcelflow.session import work_dir
@@ -85,7 +85,7 @@ def test_order_cargo_stream(spark):
         if step in (0, 1, 2, longest - 1):
             raw = read_folder(spark, f"{folder}/feed", RAW, **EVERYTHING)
             out = order_fact_stream(facts.decode_order_changes(raw))
-            run_to_end(spark, stream_to_folder(out, f"{folder}/out", f"{folder}/checkpoint"), STOP_WHEN_DRAINED)
+            run_to_end(spark, stream_to_folder(out, f"{folder}/out", f"{folder}/checkpoint"))
     assert outcome(spark.read.schema(out.schema).parquet(f"{folder}/out")) == expected
 
 

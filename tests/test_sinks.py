@@ -33,6 +33,10 @@ def test_upserts_are_idempotent_and_compact(spark):
     assert spark.read.parquet(folded).count() == 3
     sinks.upsert_dimensions(folded)(routed(spark, ("2", "d", 9, None), ("1", "u", 9, "z")), 2)
     assert current(spark, folded) == {"1": "z", "3": None}
+    again = f"{work_dir(spark, 'dims')}/again"
+    sinks.compact_dimensions(spark, folded, again)
+    sinks.upsert_dimensions(again)(routed(spark, ("2", "u", 5, "late")), 3)  # older than the delete
+    assert current(spark, again) == {"1": "z", "3": None}
 
 
 def test_create_dimensions(spark):
@@ -67,6 +71,8 @@ def test_wire_format_round_trip(spark):
     assert json.loads(message.value) == {"id": "1", "orderId": "2", "orgId": "3", "sortTime": "2023-11-06 10:00:00", "ts": 5}
     again = facts_from_topic(sinks.as_messages(fact), schema)
     assert again.collect() == fact.collect()
+    wide = facts_from_topic(spark.createDataFrame([("{}",)], "value STRING"), FACTS["dwd_trade_order_detail"])
+    assert str(wide._jdf.queryExecution().optimizedPlan()).count("from_json") == 1
 
 
 def test_append_mart_versions(spark):

@@ -61,6 +61,19 @@ def test_snapshot_stream(spark):
     ]
 
 
+@pytest.mark.parametrize("kind", ["DOUBLE", "DECIMAL(16,2)", "BIGINT", "FLOAT"])
+def test_snapshot_stream_keeps_the_type_and_nulls_of_a_measure(spark, kind):
+    folder = work_dir(spark, "typed")
+    values = [("a", None, 1_000), ("a", "1.75", 12_000), ("a", "2.5", 23_000), ("b", None, 2_000), ("b", None, DAY_END + 90_000)]
+    rows = spark.createDataFrame(values, "org STRING, v STRING, ts BIGINT").withColumn("value", F.col("v").cast("double").cast(kind)).drop("v")
+    rows.write.parquet(f"{folder}/in")
+    out = running_snapshots_stream(read_folder(spark, f"{folder}/in", rows.schema), ["org"], {"n": None, "total": "value"})
+    run_to_end(spark, stream_to_folder(out, f"{folder}/out", f"{folder}/checkpoint"))
+    got = spark.read.schema(out.schema).parquet(f"{folder}/out")
+    batch = running_snapshots(rows, ["org"], {"n": None, "total": "value"}).where(F.col("tick_ms") < DAY_END)
+    assert sorted((r.org, r.tick_ms, r.n, r.total) for r in got.collect()) == sorted((r.org, r.tick_ms, r.n, r.total) for r in batch.collect())
+
+
 def test_snapshot_stream_equals_batch_without_a_key(spark):
     steps = [[("a", float(i), 700 * i + 40 * j) for j in range(5)] for i in range(0, 60, 15)]
     ending = [("a", 1.0, DAY_END - 2), ("a", 1.0, DAY_END + 100_000)]
@@ -163,9 +176,8 @@ def test_capture_to_facts_to_dimension(spark):
     run_to_end(spark, jobs.capture_job(read_folder(spark, f"{folder}/raw"), f"{folder}/ods", f"{folder}/c1"))
     layout = "seq BIGINT, op STRING, ts BIGINT, before STRING, after STRING, table STRING"
     changes = read_folder(spark, f"{folder}/ods", layout)
-    from checks.streams import STOP_WHEN_DRAINED
 
-    run_to_end(spark, jobs.order_fact_job(changes, f"{folder}/facts", f"{folder}/c2"), STOP_WHEN_DRAINED)
+    run_to_end(spark, jobs.order_fact_job(changes, f"{folder}/facts", f"{folder}/c2"))
     got = spark.read.parquet(f"{folder}/facts")
     assert sorted(r.fact_type for r in got.collect()) == ["dwd_trade_order_detail", "dwd_trade_pay_suc_detail"]
     config = spark.createDataFrame(
