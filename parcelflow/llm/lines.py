@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.llm.columns import given_back, set_aside
+from parcelflow.llm.filters import maybe_seen, seen_keys
 from parcelflow.session import work_dir
 
 MAX_EDITS = 1
@@ -25,8 +26,6 @@ EXACT_CHARS = 16
 NEAR_CHARS = 30
 #: Lines that are compared with each other for one key; larger groups are split again.
 GROUP_LINES = 32
-#: Bits that say which keys several lines share; the table sent to all tasks has this size at most.
-FILTER_BITS = 1 << 25
 
 
 def _shifts(delta: int, segment: int, edits: int) -> range:
@@ -36,12 +35,16 @@ def _shifts(delta: int, segment: int, edits: int) -> range:
     return range(low, high + 1)
 
 
-def segment_keys(text: Column, parent: Column, edits: int) -> Column:
-    """array<struct<key, own, at, size>>: the keys of a line's segments (own) and of its probes."""
-    chars, parts, out = F.length(text), edits + 1, []
+def segment_keys(text: Column, chars: Column, parent: Column, edits: int) -> Column:
+    """array<struct<key, own, at, size>>: the keys of a line's segments (own) and of its probes.
+
+    ``chars`` is the length of ``text``.  Probes that do not fit have a null key.
+    """
+    parts, out = edits + 1, []
     for delta in range(edits + 1):
         length = chars - delta
-        base, extra = F.floor(length / parts).cast("int"), length % parts
+        extra = length % parts
+        base = ((length - extra) / parts).cast("int")
         for segment in range(parts):
             longer = F.lit(segment) >= parts - extra
             size = base + longer.cast("int")
@@ -51,8 +54,18 @@ def segment_keys(text: Column, parent: Column, edits: int) -> Column:
                 key = F.xxhash64(parent, length, F.lit(segment), F.substring(text, at, size))
                 own = F.lit(delta == 0 and shift == 0)
                 fits = (at >= 1) & (at + size - 1 <= chars) & (size > 0)
-                out.append(F.when(fits, F.struct(key.alias("key"), own.alias("own"), at.alias("at"), size.alias("size"))))
-    return F.filter(F.array(*out), lambda x: x.isNotNull())
+                out.append(F.struct(F.when(fits, key).alias("key"), own.alias("own"), at.alias("at"), size.alias("size")))
+    return F.array(*out)
+
+
+def _keyed(rows: DataFrame, text: str, parent: Column, edits: int) -> DataFrame:
+    """Rows (h, g, line, key, own, rest) for each key of ``text``; ``rest`` is what the key leaves of it."""
+    keyed = rows.withColumn("chars", F.length(text))
+    keyed = keyed.select("h", "g", "line", F.col(text).alias("text"), F.explode(segment_keys(F.col(text), F.col("chars"), parent, edits)).alias("k"))
+    keyed = keyed.where(F.col("k.key").isNotNull())
+    before = F.substring(F.col("text"), F.lit(1), F.col("k.at") - 1)
+    after = F.substring(F.col("text"), F.col("k.at") + F.col("k.size"), F.lit(2**31 - 1))
+    return keyed.select("h", "g", "line", "k.key", "k.own", F.concat(before, F.lit("\n"), after).alias("rest"))
 
 
 def within_edits(left: Column, right: Column, edits: int) -> Column:
@@ -72,9 +85,9 @@ def within_edits(left: Column, right: Column, edits: int) -> Column:
         return F.shiftrightunsigned(state, e * width).bitwiseAND(F.lit(mask))
 
     def closed(fields: list[Column]) -> Column:
-        """Deletions read nothing, so they follow within a step."""
+        """What fewer errors reach more do, and deletions read nothing, so they follow within a step."""
         for e in range(1, edits + 1):
-            fields[e] = fields[e].bitwiseOR(F.shiftleft(fields[e - 1], 1).bitwiseAND(F.lit(mask)))
+            fields[e] = fields[e].bitwiseOR(fields[e - 1]).bitwiseOR(F.shiftleft(fields[e - 1], 1).bitwiseAND(F.lit(mask)))
         return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(f, e * width) for e, f in enumerate(fields)])
 
     def step(state: Column, j: Column) -> Column:
@@ -97,23 +110,6 @@ def within_edits(left: Column, right: Column, edits: int) -> Column:
     return (F.abs(diagonal) <= edits) & (F.call_function("getbit", last, F.greatest(F.least(diagonal + edits, F.lit(63)), F.lit(0)).cast("int")) == 1)
 
 
-def _seen(keys: DataFrame, key: str) -> DataFrame:
-    """A bit table of the values of ``key``: at most ``FILTER_BITS`` bits, however many values there are."""
-    place = F.pmod(F.col(key), F.lit(FILTER_BITS)) + 1
-    return keys.groupBy(F.call_function("bitmap_bucket_number", place).alias("bucket")).agg(
-        F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", place)).alias("bits")
-    )
-
-
-def _maybe(rows: DataFrame, key: str, seen: DataFrame) -> DataFrame:
-    """Rows whose ``key`` may be in the bit table; none that is goes missing."""
-    place = F.pmod(F.col(key), F.lit(FILTER_BITS)) + 1
-    marked = rows.withColumn("bucket", F.call_function("bitmap_bucket_number", place)).join(F.broadcast(seen), "bucket")
-    bit = F.call_function("bitmap_bit_position", place)
-    byte = F.conv(F.hex(F.substring(F.col("bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return marked.where(F.call_function("getbit", byte, (bit % 8).cast("int")) == 1).drop("bucket", "bits")
-
-
 def _lines(docs: DataFrame) -> DataFrame:
     """One row per line that takes part, with its place in the order of all lines."""
     text = F.col("text")
@@ -135,11 +131,10 @@ def near_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     lines = _lines(docs).where(F.length("line") >= NEAR_CHARS).select("h", "g", "line")
-    keyed = lines.select("h", "g", "line", F.explode(segment_keys(F.col("line"), F.lit(0), edits)).alias("k")).select("h", "g", "line", "k.*")
+    keyed = _keyed(lines, "line", F.lit(0), edits)
     met = keyed.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("key")
-    seen = stored(_seen(met, "key"), "shared-keys")
-    rest = F.concat(F.substring(F.col("line"), F.lit(1), F.col("at") - 1), F.lit("\n"), F.substring(F.col("line"), F.col("at") + F.col("size"), F.length("line")))
-    rows = _maybe(keyed, "key", seen).select("key", "own", "h", "g", "line", rest.alias("rest")).distinct()
+    seen = stored(seen_keys(met, "key"), "shared-keys")
+    rows = maybe_seen(keyed, "key", seen).select("key", "own", "h", "g", "line", "rest").distinct()
     rows = stored(rows, "rows-0")
     found, level = [], 0
     while True:
@@ -152,13 +147,14 @@ def near_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
         own = small.where("own").select("key", "h", "g", "line")
         other = small.select("key", F.col("h").alias("h2"), F.col("g").alias("g2"), F.col("line").alias("line2"))
         pairs = own.join(other, "key").where((F.col("h") != F.col("h2")) | (F.col("g") != F.col("g2")))
+        # Spark's own bounded distance, compiled, turns away most pairs before the bit-parallel one
+        pairs = pairs.where(F.levenshtein("line", "line2", edits) >= 0)
         pairs = pairs.where(within_edits(F.col("line"), F.col("line2"), edits)).select("h", "g", "h2", "g2")
         found.append(stored(pairs.distinct(), f"pairs-{level}"))
         if last:
             break
-        again = rows.join(large, "key").select("key", "h", "g", "line", "rest", F.explode(segment_keys(F.col("rest"), F.col("key"), edits)).alias("k"))
-        left = F.concat(F.substring(F.col("rest"), F.lit(1), F.col("k.at") - 1), F.lit("\n"), F.substring(F.col("rest"), F.col("k.at") + F.col("k.size"), F.length("rest")))
-        again = again.select(F.col("k.key").alias("key"), F.col("k.own").alias("own"), "h", "g", "line", left.alias("rest")).distinct()
+        again = _keyed(rows.join(large, "key"), "rest", F.col("key"), edits)
+        again = again.select("key", "own", "h", "g", "line", "rest").distinct()
         level += 1
         rows = stored(again, f"rows-{level}")
     out = reduce(lambda a, b: a.unionByName(b), found)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.llm.arrays import gram_rows, grams, mix, row_of, slices, words
+from parcelflow.llm.filters import maybe_seen, seen_keys
 from parcelflow.llm.graph import components
 from parcelflow.session import work_dir
 
@@ -192,8 +193,9 @@ class _Forest:
 
     def confirmed(self, pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
         """The pairs whose whole sets are similar enough."""
-        left = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        both = left.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+        # neither side is sent whole, at any size
+        left = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+        both = left.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
         return self.stored(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(self.percent), "a long, b long"), name)
 
     def run(self) -> DataFrame:
@@ -207,9 +209,10 @@ class _Forest:
         )
         centred, near = self.candidates(first)
         centred, near = self.stored(centred, "centred"), self.stored(near, "near")
-        ids = centred.unionByName(near).select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        ids = self.stored(centred.unionByName(near).select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+        seen = self.stored(seen_keys(ids, "doc_id"), "seen")
         # a repeated id has one row here, by the set that leads
-        texts = self.docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        texts = maybe_seen(self.docs, "doc_id", seen).join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
         texts = self.stored(texts, "texts")
         links = self.confirmed(centred, texts, "links")
         groups = self.stored(components(links), "groups")
