@@ -43,6 +43,17 @@ def streamed_feed(spark: SparkSession, folder: str, feed: DataFrame) -> DataFram
     return read_folder(spark, f"{folder}/feed", RAW, **EVERYTHING)
 
 
+def feed_in_steps(spark: SparkSession, folder: str, feed: DataFrame) -> DataFrame:
+    """All rows of a feed, in order of arrival, as one file and micro-batch per step."""
+    feed.write.parquet(f"{folder}/whole")
+    whole = spark.read.schema(RAW).parquet(f"{folder}/whole")
+    first, last = whole.agg(F.min("seq"), F.max("seq")).first()
+    step = F.least(F.floor((F.col("seq") - first) * STEPS / F.lit(max(last - first, 1))), F.lit(STEPS - 1))
+    for k in range(STEPS):
+        whole.where(step == k).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
+    return read_folder(spark, f"{folder}/feed", RAW, maxFilesPerTrigger="1")
+
+
 def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_folder(spark, sf_dir, TABLES["events"], pathGlobFilter="events.parquet", **EVERYTHING)
 
@@ -57,17 +68,6 @@ def stream_order_cargo(spark, sf_dir):
     return _lifecycle_columns(spark.read.schema(paired.schema).parquet(f"{folder}/facts"))
 
 
-def feed_in_steps(spark: SparkSession, folder: str, feed: DataFrame) -> DataFrame:
-    """All rows of a feed, in order of arrival, as one file and micro-batch per step."""
-    feed.write.parquet(f"{folder}/whole")
-    whole = spark.read.schema(RAW).parquet(f"{folder}/whole")
-    first, last = whole.agg(F.min("seq"), F.max("seq")).first()
-    step = F.least(F.floor((F.col("seq") - first) * STEPS / F.lit(max(last - first, 1))), F.lit(STEPS - 1))
-    for k in range(STEPS):
-        whole.where(step == k).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
-    return read_folder(spark, f"{folder}/feed", RAW, maxFilesPerTrigger="1")
-
-
 @query
 def stream_order_cargo_steps(spark, sf_dir):
     """The pairing with its state carried over many micro-batches."""
@@ -81,7 +81,7 @@ def stream_order_cargo_steps(spark, sf_dir):
 @query
 def stream_fanout(spark, sf_dir):
     folder = work_dir(spark, "stream-fanout")
-    raw = streamed_feed(spark, folder, feeds.bound_feed(table(spark, sf_dir, "events")))
+    raw = feed_in_steps(spark, folder, feeds.bound_feed(table(spark, sf_dir, "events")))
     changes = facts.decode_bound_changes(raw)
     run_to_end(spark, jobs.bound_fact_job(changes, f"{folder}/facts", f"{folder}/checkpoint"))
     stored = spark.read.parquet(f"{folder}/facts")
@@ -91,7 +91,7 @@ def stream_fanout(spark, sf_dir):
 @query
 def stream_dim_upsert(spark, sf_dir):
     folder = work_dir(spark, "stream-dim-upsert")
-    changes = decode_changes(streamed_feed(spark, folder, feeds.change_feed(table(spark, sf_dir, "events"))))
+    changes = decode_changes(feed_in_steps(spark, folder, feeds.change_feed(table(spark, sf_dir, "events"))))
     job = jobs.dimension_job(changes, lambda: feeds.buyer_config(spark), f"{folder}/dims", f"{folder}/checkpoint")
     run_to_end(spark, job)
     buyers = read_dimension(spark, f"{folder}/dims", "dim_buyer", "user_id", ["user_id", "event_id", "value"])
