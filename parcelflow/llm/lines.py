@@ -24,8 +24,10 @@ MAX_EDITS = 1
 #: Shorter lines stay; lines below the second length are only compared for equality.
 EXACT_CHARS = 16
 NEAR_CHARS = 30
-#: Lines that are compared with each other for one key; larger groups are split again.
+#: Lines that are compared with each other for one key, and their number times the longest
+#: remainder; larger groups are split again.
 GROUP_LINES = 32
+GROUP_CHARS = 2048
 
 
 def _shifts(delta: int, segment: int, edits: int) -> range:
@@ -101,7 +103,7 @@ def within_edits(left: Column, right: Column, edits: int) -> Column:
                 before = field(state, e - 1)
                 now = now.bitwiseOR(before).bitwiseOR(F.shiftrightunsigned(before, 1))
             fields.append(now)
-        return closed(fields)
+        return F.when(state == 0, state).otherwise(closed(fields))
 
     start = closed([F.lit(1 << edits).cast("long"), *[F.lit(0).cast("long")] * edits])
     end = F.when(F.length(right) == 0, start).otherwise(F.aggregate(F.sequence(F.lit(1), F.length(right)), start, step))
@@ -140,15 +142,16 @@ def near_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     while True:
         groups = rows.groupBy("key").agg(F.count("*").alias("n"), F.max(F.length("rest")).alias("longest"))
         # below this length segments get so short that what they leave would not shrink
-        split = (F.col("n") > GROUP_LINES) & (F.col("longest") > 3 * edits + 2)
+        crowded = (F.col("n") > GROUP_LINES) | (F.col("n") * F.col("longest") > GROUP_CHARS)
+        split = (F.col("n") > 1) & crowded & (F.col("longest") > 3 * edits + 2)
         large = stored(groups.where(split).select("key"), f"large-{level}")
         last = large.isEmpty()
         small = rows if last else rows.join(large, "key", "left_anti")
-        own = small.where("own").select("key", "h", "g", "line")
-        other = small.select("key", F.col("h").alias("h2"), F.col("g").alias("g2"), F.col("line").alias("line2"))
+        own = small.where("own").select("key", "h", "g", "line", "rest")
+        other = small.select("key", F.col("h").alias("h2"), F.col("g").alias("g2"), F.col("line").alias("line2"), F.col("rest").alias("rest2"))
         pairs = own.join(other, "key").where((F.col("h") != F.col("h2")) | (F.col("g") != F.col("g2")))
-        # Spark's own bounded distance, compiled, turns away most pairs before the bit-parallel one
-        pairs = pairs.where(F.levenshtein("line", "line2", edits) >= 0)
+        # what the key leaves is shorter and turns most pairs away
+        pairs = pairs.where(within_edits(F.col("rest"), F.col("rest2"), edits))
         pairs = pairs.where(within_edits(F.col("line"), F.col("line2"), edits)).select("h", "g", "h2", "g2")
         found.append(stored(pairs.distinct(), f"pairs-{level}"))
         if last:
