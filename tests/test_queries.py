@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from checks import feeds
 from checks.compare import TABLES, compare
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 from parcelflow.operators.daily import partial_totals
 from parcelflow.session import conf_scope, work_dir
 
@@ -24,10 +26,11 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     good, note = compare(spark, con, SF, name)
     assert good, note
@@ -37,7 +40,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-BATCH = [name for name in entry.queries() if not name.startswith("stream_")]
+BATCH = [name for name in QUERIES if not name.startswith("stream_")]
 
 
 def test_no_plan_pairs_rows_freely_or_runs_python(spark):
