@@ -81,7 +81,6 @@ def within_edits(left: Column, right: Column, edits: int) -> Column:
     if width * (edits + 1) > 63:
         raise ValueError("too many edits for one long")
     mask = (1 << width) - 1
-    x, y = F.split(left, ""), F.split(right, "")
 
     def field(state: Column, e: int) -> Column:
         return F.shiftrightunsigned(state, e * width).bitwiseAND(F.lit(mask))
@@ -92,7 +91,7 @@ def within_edits(left: Column, right: Column, edits: int) -> Column:
             fields[e] = fields[e].bitwiseOR(fields[e - 1]).bitwiseOR(F.shiftleft(fields[e - 1], 1).bitwiseAND(F.lit(mask)))
         return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(f, e * width) for e, f in enumerate(fields)])
 
-    def step(state: Column, j: Column) -> Column:
+    def step(x: Column, y: Column, state: Column, j: Column) -> Column:
         # bit d + edits: character j + d of the left line equals character j of the right one
         bits = [F.when(F.get(x, j + (d - 1)) == F.get(y, j - 1), F.lit(1 << (d + edits))).otherwise(F.lit(0)).cast("long") for d in range(-edits, edits + 1)]
         same = reduce(lambda a, b: a.bitwiseOR(b), bits)
@@ -106,7 +105,10 @@ def within_edits(left: Column, right: Column, edits: int) -> Column:
         return F.when(state == 0, state).otherwise(closed(fields))
 
     start = closed([F.lit(1 << edits).cast("long"), *[F.lit(0).cast("long")] * edits])
-    end = F.when(F.length(right) == 0, start).otherwise(F.aggregate(F.sequence(F.lit(1), F.length(right)), start, step))
+    # the characters are bound to a variable, as the step would otherwise split the lines again each time
+    chars = F.array(F.struct(F.split(left, "").alias("x"), F.split(right, "").alias("y")))
+    read = F.transform(chars, lambda c: F.aggregate(F.sequence(F.lit(1), F.size(c["y"])), start, lambda s, j: step(c["x"], c["y"], s, j)))
+    end = F.when(F.length(right) == 0, start).otherwise(read[0])
     diagonal = F.length(left) - F.length(right)
     last = F.shiftrightunsigned(end, edits * width).bitwiseAND(F.lit(mask))
     return (F.abs(diagonal) <= edits) & (F.call_function("getbit", last, F.greatest(F.least(diagonal + edits, F.lit(63)), F.lit(0)).cast("int")) == 1)
