@@ -199,34 +199,30 @@ def _normal(data: np.ndarray, start: np.ndarray, rows: np.ndarray) -> tuple[np.n
     return out[keep], place
 
 
-SEGMENTS = pa.list_(pa.struct([("anchor", pa.int64()), ("start", pa.int32()), ("words", pa.string())]))
-CUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("kept_sha256", pa.string()), ("text", pa.string()), ("segments", SEGMENTS)])
+CUT = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("anchor", pa.int64()), ("start", pa.int32()), ("words", pa.string())])
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Results of documents without a repeated anchor; text and segments of the others."""
+    """The segments of each document whose anchors are among its repeated ones."""
     for batch in batches:
         for part in slices(batch):
             found = words(part.column("text"))
             rows = found.rows
             normal, place = _normal(found.data, found.start, rows)
             from_, to = place[found.start], place[found.end]
-            hits = part.column("anchors").to_pylist()
-            own, at, bounds = _window_anchors(found.hashes(), rows, window) if any(hits) else (None, None, None)
+            own, _, bounds = _window_anchors(found.hashes(), rows, window)
             out: list[tuple] = []
-            for row, (doc_id, mine) in enumerate(zip(part.column("doc_id").to_pylist(), hits, strict=True)):
-                first, last = int(rows[row]), int(rows[row + 1])
-                whole = normal[from_[first] : to[last - 1]].tobytes() if last > first else b""
-                if not mine:
-                    out.append((doc_id, last - first, hashlib.sha256(whole).hexdigest(), None, None))
-                    continue
+            known = zip(*(part.column(c).to_pylist() for c in ("doc_id", "version", "anchors")), strict=True)
+            for row, (doc_id, version, mine) in enumerate(known):
+                first = int(rows[row])
                 anchors = own[bounds[row] : bounds[row + 1]]
+                if not len(anchors):
+                    continue
                 flagged = np.isin(anchors, np.array(mine, np.int64).view(np.uint64))
                 turn = np.ones(len(anchors), bool)
                 turn[1:] = (anchors[1:] != anchors[:-1]) | (flagged[1:] != flagged[:-1])
                 begins = np.flatnonzero(turn)
                 ends = np.append(begins[1:], len(anchors))
-                segments = []
                 for begin, end in zip(begins.tolist(), ends.tolist(), strict=True):
                     if not flagged[begin]:
                         continue
@@ -234,9 +230,8 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
                     for s in range(begin, end, SEGMENT_WINDOWS):
                         e = min(end, s + SEGMENT_WINDOWS)
                         text = normal[from_[first + s] : to[first + e + window - 2]].tobytes().decode()
-                        segments.append({"anchor": anchor, "start": s, "words": text})
-                out.append((doc_id, last - first, None, whole.decode(), segments))
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), CUT, strict=True)], schema=CUT)
+                        out.append((doc_id, version, anchor, s, text))
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True) if out else [()] * 5, CUT, strict=True)], schema=CUT)
 
 
 def _match(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -273,17 +268,27 @@ def _match(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
 def _remove(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
-            rows = []
-            for n, text, starts in zip(part.column("n_words").to_pylist(), part.column("text").to_pylist(), part.column("starts").to_pylist(), strict=True):
-                gone = np.zeros(n + 1, np.int64)
-                at = np.array(starts or [], np.int64)
-                np.add.at(gone, at, 1)
-                np.add.at(gone, at + window, -1)
-                keep = np.cumsum(gone[:-1]) == 0
-                left = " ".join(np.array(text.split(" "), object)[keep]) if n else ""
-                rows.append((n - int(keep.sum()), hashlib.sha256(left.encode()).hexdigest(), left))
-            removed, sha, left = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "n_words": part.column("n_words"), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": list(sha), "kept_text": list(left)})
+            found = words(part.column("text"))
+            normal, place = _normal(found.data, found.start, found.rows)
+            from_, to = place[found.start], place[found.end]
+            removed, sha, left = [], [], []
+            for row, starts in enumerate(part.column("starts").to_pylist()):
+                first, last = int(found.rows[row]), int(found.rows[row + 1])
+                gone = np.zeros(last - first + 1, np.int64)
+                if starts:
+                    at = np.array(starts, np.int64)
+                    np.add.at(gone, at, 1)
+                    np.add.at(gone, at + window, -1)
+                keep = np.concatenate([[False], np.cumsum(gone[:-1]) == 0, [False]])
+                begins, ends = np.flatnonzero(keep[1:] & ~keep[:-1]), np.flatnonzero(keep[:-1] & ~keep[1:])
+                runs = [normal[from_[first + b] : to[first + e - 1]].tobytes() for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]
+                text = b" ".join(runs)
+                removed.append(last - first - int(keep.sum()))
+                sha.append(hashlib.sha256(text).hexdigest())
+                left.append(text.decode())
+            yield pa.RecordBatch.from_pydict(
+                {"doc_id": part.column("doc_id"), "n_words": np.diff(found.rows), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": sha, "kept_text": left}
+            )
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -291,10 +296,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     Words are runs of non-space.  A word goes if a window over it also starts in a document
     with a smaller doc_id, as the texts were given.  ``kept_text`` joins the words left by
-    one space, and is null where nothing could repeat and the text stays as it is.  Null and
-    empty texts have no words.  Rows with a null id are neither cut nor
-    a reference; rows that repeat an id are one document to each other, so they do not cut
-    one another.  Segments of an anchor that is found in very many surroundings are matched
+    one space.  Null and empty texts have no words.  Rows with a null id are neither cut nor
+    a reference; rows that repeat an id do not cut one another.  Segments of an anchor that is found in very many surroundings are matched
     window by window, with the same result.  Other columns are not read.
     """
     spark = docs.sparkSession
@@ -304,17 +307,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("version"))
     rows = texts.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(
         lambda it: _anchor_rows(it, window), "route long, anchor long, doc_id long, known boolean, lead boolean"
     )
     met = rows.repartition("route").drop("route").sortWithinPartitions("lead", "anchor")
     hits = met.mapInArrow(_repeated, "doc_id long, anchor long").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
-    segment = "array<struct<anchor: long, start: int, words: string>>"
-    cut = texts.join(hits, "doc_id", "left").mapInArrow(lambda it: _cut(it, window), f"doc_id long, n_words long, kept_sha256 string, text string, segments {segment}")
-    cut = stored(cut, "cut")
-
-    found = cut.where("segments IS NOT NULL").select("doc_id", F.explode("segments").alias("s")).select("doc_id", "s.*")
+    cut = texts.where("text IS NOT NULL").join(hits, "doc_id").mapInArrow(
+        lambda it: _cut(it, window), "doc_id long, version long, anchor long, start int, words string"
+    )
+    found = stored(cut, "cut")
     distinct = stored(found.groupBy("anchor", "words").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "segments")
     crowded = stored(distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > ANCHOR_SEGMENTS).select("anchor"), "crowded")
     some_crowded = not crowded.isEmpty()
@@ -323,21 +325,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     shards = quiet.repartition("anchor").sortWithinPartitions("anchor", "words")
     matched = shards.mapInArrow(lambda it: _match(it, window), "anchor long, words string, firsts array<long>")
     matched = stored(matched.select("anchor", F.xxhash64("words").alias("key"), "firsts"), "matched")
-    keyed = found.select("doc_id", "anchor", "start", F.xxhash64("words").alias("key"))
+    keyed = found.select("doc_id", "version", "anchor", "start", F.xxhash64("words").alias("key"))
     starts = F.filter(F.transform("firsts", lambda first, i: F.when(first < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull())
-    spans = keyed.join(matched, ["anchor", "key"]).select("doc_id", starts.alias("starts"))
+    spans = keyed.join(matched, ["anchor", "key"]).select("doc_id", "version", starts.alias("starts"))
 
     if some_crowded:
         split = F.split("words", " ")
         each = F.transform(F.sequence(F.lit(0), F.size(split) - window), lambda i: F.concat_ws(" ", F.slice(split, i + 1, window)))
         single = distinct.join(crowded, "anchor", "left_semi").select("first", F.explode(each).alias("words"))
         single = stored(single.groupBy("words").agg(F.min("first").alias("first")), "windows")
-        own = found.join(crowded, "anchor", "left_semi").select("doc_id", "start", F.posexplode(each).alias("i", "words"))
+        own = found.join(crowded, "anchor", "left_semi").select("doc_id", "version", "start", F.posexplode(each).alias("i", "words"))
         own = own.join(single, "words").where("first < doc_id")
-        spans = spans.unionByName(own.select("doc_id", F.array(F.col("start") + F.col("i")).alias("starts")))
+        spans = spans.unionByName(own.select("doc_id", "version", F.array(F.col("start") + F.col("i")).alias("starts")))
 
-    spans = spans.where(F.size("starts") > 0).groupBy("doc_id").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    touched = cut.where("text IS NOT NULL").select("doc_id", "n_words", "text").join(spans, "doc_id", "left")
-    removed = touched.mapInArrow(lambda it: _remove(it, window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
-    as_is = cut.where("text IS NULL").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept_text"))
-    return as_is.unionByName(removed)
+    spans = spans.where(F.size("starts") > 0).groupBy("doc_id", "version").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    return texts.join(spans, ["doc_id", "version"], "left").select("doc_id", "text", "starts").mapInArrow(
+        lambda it: _remove(it, window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    )
