@@ -37,37 +37,29 @@ def _shifts(delta: int, segment: int, edits: int) -> range:
     return range(low, high + 1)
 
 
-def segment_keys(text: Column, chars: Column, parent: Column, edits: int) -> Column:
-    """array<struct<key, own, at, size>>: the keys of a line's segments (own) and of its probes.
+def _keyed(rows: DataFrame, text: str, parent: Column, edits: int) -> DataFrame:
+    """Rows (h, g, line, key, own, rest) for each key of ``text``; ``rest`` is what the key leaves of it.
 
-    ``chars`` is the length of ``text``.  Probes that do not fit have a null key.
+    A line has keys of its own segments (own) and of the probes, which are segments that a
+    line ``delta`` shorter would have, a few places to either side.  Every row makes one
+    key from numbers, which keeps the compiled code small.
     """
-    parts, out = edits + 1, []
-    for delta in range(edits + 1):
-        length = chars - delta
-        extra = length % parts
-        base = ((length - extra) / parts).cast("int")
-        for segment in range(parts):
-            longer = F.lit(segment) >= parts - extra
-            size = base + longer.cast("int")
-            start = base * segment + F.greatest(F.lit(0), segment - (parts - extra)) + 1
-            for shift in _shifts(delta, segment, edits):
-                at = (start + shift).cast("int")
-                key = F.xxhash64(parent, length, F.lit(segment), F.substring(text, at, size))
-                own = F.lit(delta == 0 and shift == 0)
-                fits = (at >= 1) & (at + size - 1 <= chars) & (size > 0)
-                out.append(F.struct(F.when(fits, key).alias("key"), own.alias("own"), at.alias("at"), size.alias("size")))
-    return F.array(*out)
-
-
-def _keyed(rows: DataFrame, text: str, parent: Column, edits: int) -> DataFrame:
-    """Rows (h, g, line, key, own, rest) for each key of ``text``; ``rest`` is what the key leaves of it."""
-    keyed = rows.withColumn("chars", F.length(text))
-    keyed = keyed.select("h", "g", "line", F.col(text).alias("text"), F.explode(segment_keys(F.col(text), F.col("chars"), parent, edits)).alias("k"))
-    keyed = keyed.where(F.col("k.key").isNotNull())
-    before = F.substring(F.col("text"), F.lit(1), F.col("k.at") - 1)
-    after = F.substring(F.col("text"), F.col("k.at") + F.col("k.size"), F.lit(2**31 - 1))
-    return keyed.select("h", "g", "line", "k.key", "k.own", F.concat(before, F.lit("\n"), after).alias("rest"))
+    parts = edits + 1
+    kinds = [(d, k, s) for d in range(edits + 1) for k in range(parts) for s in _shifts(d, k, edits)]
+    probes = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(("delta", "segment", "shift"), kind, strict=True)]) for kind in kinds])
+    each = rows.select("h", "g", "line", F.col(text).alias("text"), parent.alias("parent"), F.length(text).alias("chars"), F.explode(probes).alias("p"))
+    each = each.select("h", "g", "line", "text", "parent", "chars", "p.*").withColumn("length", F.col("chars") - F.col("delta"))
+    extra = F.col("length") % parts
+    base = ((F.col("length") - extra) / parts).cast("int")
+    size = base + (F.col("segment") >= parts - extra).cast("int")
+    at = base * F.col("segment") + F.greatest(F.lit(0), F.col("segment") - (parts - extra)) + 1 + F.col("shift")
+    each = each.withColumns({"size": size, "at": at.cast("int")})
+    each = each.where((F.col("at") >= 1) & (F.col("at") + F.col("size") - 1 <= F.col("chars")) & (F.col("size") > 0))
+    key = F.xxhash64("parent", "length", "segment", F.substring(F.col("text"), F.col("at"), F.col("size")))
+    before = F.substring(F.col("text"), F.lit(1), F.col("at") - 1)
+    after = F.substring(F.col("text"), F.col("at") + F.col("size"), F.lit(2**31 - 1))
+    own = (F.col("delta") == 0) & (F.col("shift") == 0)
+    return each.select("h", "g", "line", key.alias("key"), own.alias("own"), F.concat(before, F.lit("\n"), after).alias("rest"))
 
 
 def within_edits(left: Column, right: Column, edits: int) -> Column:
