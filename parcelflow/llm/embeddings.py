@@ -181,8 +181,8 @@ def _sample(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True) if out else [()] * 3, kinds, strict=True)], ["cell", "draw", "data"])
 
 
-def _assign(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
-    """Each point to its nearest centre; rows carry the child's centre and how far its points reach."""
+def _assign(batches: Iterator[pa.RecordBatch], level: int, nearest: bool) -> Iterator[pa.RecordBatch]:
+    """Each point to its nearest centre, or evenly by a hash; rows carry the child's centre and how far its points reach."""
     names = ["parent", "cell", "n", "ids", "weights", "data", "centre", "radius"]
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.float64())
     for batch in batches:
@@ -191,7 +191,7 @@ def _assign(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.Record
             ids, weights, data = _points(row)
             points = unit(data.astype(np.float64))
             centres = unit(np.stack([np.frombuffer(c["data"], np.float32) for c in row["centres"]]).astype(np.float64))
-            if level < LEVELS:
+            if nearest:
                 at = (points @ centres.T).argmax(1)
             else:
                 at = (_draw(ids, level) % np.uint64(CENTRES)).astype(np.int64)
@@ -219,7 +219,7 @@ def _descend(pairs: DataFrame, cells: DataFrame, children: DataFrame, reach: flo
     return pairs.where((F.col("cell_a") == F.col("cell_b")) | F.coalesce(near, F.lit(True))).select("cell_a", "cell_b")
 
 
-def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, cell_points: int = CELL_POINTS) -> DataFrame:
+def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, cell_points: int = CELL_POINTS, levels: int = LEVELS) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
     Vectors are compared when their labels are equal and not null and they have as many
@@ -267,7 +267,7 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, cell_poin
         centres = drawn.groupBy("cell").agg(F.slice(F.array_sort(F.collect_list(F.struct("draw", "data"))), 1, CENTRES).alias("centres"))
         centres = stored(centres, f"centres-{level}")
         made = pieces.join(centres, "cell").mapInArrow(
-            lambda it, at=level: _assign(it, at), f"parent long, cell long, n long, {PIECE}, centre array<double>, radius double"
+            lambda it, at=level: _assign(it, at, at < levels), f"parent long, cell long, n long, {PIECE}, centre array<double>, radius double"
         )
         made = stored(made, f"made-{level}")
         children = made.groupBy("parent", "cell", "centre").agg(F.max("radius").alias("radius"))

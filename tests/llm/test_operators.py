@@ -216,7 +216,7 @@ def test_vector_links_equal_brute_force(spark):
 
 def test_points_without_spread_are_cut_evenly(spark):
     rows = [(i, [float(i + 1), float(2 * i + 2)], 1) for i in range(90)]  # one direction
-    got = embeddings.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), cell_points=16)
+    got = embeddings.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), cell_points=16, levels=1)
     assert rows_of(got, "n_links", "component_id") == [(89, 0)] * 90
 
 
