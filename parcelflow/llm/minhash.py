@@ -7,7 +7,8 @@ only where it is dense, until its parts are small; documents of a small part are
 neighbours by their longest common prefix and become candidates.  In every dense region
 on the way each document also meets two centres, the one found in most dense regions and
 the one with the least id, which ties the many copies of one text together without
-pairing them.  Links are confirmed on the full shingle sets.
+pairing them.  What the centres leave apart in a dense region is compared by an exact join
+on the rarest shingles of each set.  Links are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ SIZE = TREES * LEAST_DEPTH
 DEPTHS = (3, 6, 12, 30, SIZE)
 #: Documents of a region that are all neighbours of each other.
 NEIGHBOURS = 10
+#: Sets with a shingle that one row of the exact join meets; more are dealt over several groups.
+SALT_SETS = 512
 
 _RANDOM = np.random.default_rng(75)
 _TIMES = _RANDOM.integers(1, 2**63, SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,6 +114,14 @@ def _regions(depth: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return make
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch):
+            values, bounds = shingle_sets(part.column("text"))
+            shingles = pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), pa.array(values.view(np.int64))).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "component": part.column("component"), "shingles": shingles})
+
+
 def _confirm(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,7 +157,7 @@ class _Forest:
         """Pairs of documents with their centres, and pairs of neighbours; ``first`` has one row per set."""
         centred, near = [], []
         start = first.select("doc_id", "minima", F.lit(0).cast("long").alias("pop"), F.lit(None).cast("array<int>").alias("trees"))
-        members = self._members(start, LEAST_DEPTH, "first")
+        members = self.first_members = self._members(start, LEAST_DEPTH, "first")
         near.append(self._near(members))
         centred.append(self._pairs(members.where(F.col("n") <= self.neighbours), "least"))
         dense = members.where(F.col("n") > self.neighbours)
@@ -198,6 +209,52 @@ class _Forest:
         both = left.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
         return self.stored(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(self.percent), "a long, b long"), name)
 
+    def apart(self, groups: DataFrame) -> DataFrame:
+        """Documents of dense regions that hold more than one component, with their component."""
+        dense = self.first_members.where(F.col("n") > self.neighbours).select("doc_id", "region")
+        found = dense.join(groups.toDF("doc_id", "component"), "doc_id", "left")
+        found = self.stored(found.select("doc_id", "region", F.coalesce("component", "doc_id").alias("component")), "dense-groups")
+        mixed = found.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+        return self.stored(found.join(mixed, "region", "left_semi").select("doc_id", "component").distinct(), "apart")
+
+    def rest(self, apart: DataFrame, texts: DataFrame) -> DataFrame:
+        """All pairs of two components among ``apart`` that may be similar enough, by prefix filters.
+
+        Sets are sorted by how many hold a shingle, the rarest first.  Similar sets share one of
+        the first shingles of both: of the larger set by the share that it must have in common,
+        of the smaller one by what two sets of its size must.  Where they share the first one,
+        what follows in each must be enough.
+        """
+        percent = self.percent
+        sets = texts.join(apart, "doc_id").select("doc_id", "component", "text")
+        sets = self.stored(sets.mapInArrow(_sets, "doc_id long, component long, shingles array<long>").withColumn("n", F.size("shingles").cast("long")), "sets-apart")
+        rows = sets.select("doc_id", "component", "n", F.explode("shingles").alias("shingle"))
+        common = rows.groupBy("shingle").agg(F.count("*").alias("f"), F.min("component").alias("low"), F.max("component").alias("high"))
+        common = self.stored(common.where("low < high").select("shingle", "f"), "common")  # no other shingle is in two components
+        ranked = rows.join(common.hint("merge"), "shingle").groupBy("doc_id", "component", "n").agg(F.array_sort(F.collect_list(F.struct("f", "shingle"))).alias("own"))
+        # shingles that are not common come first in the order and take up places of the prefix
+        alone = F.col("n") - F.size("own")
+        prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone
+        ranked = ranked.withColumn("alone", alone).withColumn("prefix", prefix.cast("int")).where("prefix > 0")
+        ranked = ranked.select("doc_id", "component", "n", "alone", F.posexplode(F.slice("own", F.lit(1), F.col("prefix"))).alias("at", "s"))
+        salts = F.ceil(F.col("f") / SALT_SETS).cast("long")
+        ranked = self.stored(
+            ranked.select("doc_id", "component", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left"), F.col("s.shingle").alias("shingle"), F.col("s.f").alias("f")),
+            "prefixes",
+        ).withColumn("salts", salts)
+        large = ranked.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).alias("x")
+        # left: the shingles from this one on, which hold all that two sets share if this is the first they share
+        small = ranked.where(F.col("left") * (100 + percent) >= 2 * percent * F.col("n")).withColumn("salt", F.pmod(F.xxhash64("doc_id"), "salts")).alias("y")
+        pairs = large.join(
+            small.hint("merge"),
+            F.expr(
+                f"x.shingle = y.shingle AND x.salt = y.salt AND x.component <> y.component AND 100 * y.n >= {percent} * x.n"
+                " AND (x.n > y.n OR x.n = y.n AND x.doc_id > y.doc_id)"
+                f" AND {100 + percent} * least(x.left, y.left) >= {percent} * (x.n + y.n)"
+            ),
+        )
+        return pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+
     def run(self) -> DataFrame:
         signed = self.docs.mapInArrow(_sign, "doc_id long, n_shingles long, same binary, minima binary")
         signed = self.stored(signed, "signed")
@@ -223,6 +280,12 @@ class _Forest:
         more = self.confirmed(apart, texts, "more")
         if not more.isEmpty():
             groups = self.stored(components(groups.toDF("a", "b").unionByName(more)), "groups-again")
+        # what the forest has not compared where it is dense
+        apart = self.apart(groups)
+        if not apart.isEmpty():
+            rest = self.confirmed(self.stored(self.rest(apart, texts), "rest-pairs"), texts, "rest")
+            if not rest.isEmpty():
+                groups = self.stored(components(groups.toDF("a", "b").unionByName(rest)), "groups-whole")
         leads = sets.join(groups.select(F.col("node").alias("lead"), "component"), "lead", "left")
         leads = self.stored(leads.select("same", F.coalesce("component", "lead").alias("component")), "leads")
         out = signed.select("doc_id", "n_shingles", "same").join(leads, "same", "left")
@@ -237,9 +300,9 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, neighbours:
     shingles, or the whole sequence of a shorter text.  Null, empty and blank texts have
     an empty set and are their own components.  Documents with equal sets are one class,
     named by its least id, and only classes are compared; links need at least ``percent``
-    similarity of whole sets.  Which pairs are compared is up to the forest: two documents
-    at the threshold alone in their region are missed with probability
-    (1 - 0.75^3)^21, about one in 100,000.  Rows with a null id are counted and kept, and
+    similarity of whole sets.  The forest compares no pair without a common region: two
+    documents at the threshold have none with probability (1 - 0.75^3)^21, about one in
+    100,000.  Pairs with one are compared, or tied together already.  Rows with a null id are counted and kept, and
     linked with nothing beyond their equals.  Rows that repeat an id with different texts
     are one document to the links.  Other columns are not read.
     """

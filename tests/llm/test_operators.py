@@ -239,6 +239,23 @@ def test_near_duplicates_equal_brute_force(docs, corpus):
     assert {r["doc_id"] for r in left.collect()} == {t for t in top.values()} | {None}
 
 
+@pytest.mark.parametrize("salt_sets", [512, 16])
+def test_near_duplicates_in_a_dense_family_are_all_linked(spark, monkeypatch, salt_sets):
+    """A template family of 0.6 to each other, with pairs just above 0.76 in it."""
+    monkeypatch.setattr(minhash, "SALT_SETS", salt_sets)
+    rng = random.Random(21)
+    template = " ".join(f"t{k}" for k in range(124))
+    texts = []
+    for i in range(150):
+        a, b = [f"a{i}x{k}" for k in range(40)], [f"b{i}x{k}" for k in range(40)]
+        texts += [" ".join([template, *a]), " ".join([template, *a[:19], *b[19:]])]
+    texts += [" ".join([template, *(f"c{i}x{k}" for k in range(40))]) for i in range(100)]
+    ids = rng.sample(range(1000), len(texts))
+    want = {i: min(i, ids[k ^ 1]) if k < 300 else i for k, i in enumerate(ids)}
+    got = minhash.near_duplicates(spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").repartition(3))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
+
+
 def test_components_of_chains_stars_and_circles(spark):
     rng = random.Random(8)
     links = [(i, i + 1) for i in range(100, 130)] + [(7, x) for x in range(200, 260)] + [(5, 6), (6, 9), (9, 5), (4, 4)]
