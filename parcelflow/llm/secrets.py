@@ -26,10 +26,11 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
-#: Contexts in which a value is taken for a credential, with the value as group 1.
+#: Contexts in which a value is taken for a credential: the separator as group 1, the value as group 2, that of a URL as group 3.
 CONTEXTS = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth(?:orization)?|bearer|api[_\x20-]?key|access[_\x20-]?key|private[_\x20-]?key|client[_\x20-]?secret)"""
-    r"""["']?\x20*(?:[:=]|=>|\x20is\x20|\x20bearer\x20|\x20)\x20*(?:(?:bearer|basic)\x20+)?["']?([^\s"'<>,;]+)|://[^\s/:@]+:([^\s/@]+)@""",
+    r"""(?:[_\x20-]?(?:key|value|code|string|phrase|hash|text|data|number))*"""
+    r"""["']?\x20*([:=]+>?|\x20(?:is|was)\x20|\x20bearer\x20|\x20)\x20*(?:(?:bearer|basic)\x20+)?["']?([^\s"'<>,;]+)|://[^\s/:@]+:([^\s/@]+)@""",
     re.ASCII | re.IGNORECASE,
 )
 CONTEXT_WORDS = ("pass", "pwd", "pin", "secret", "token", "credential", "auth", "bearer", "key", "://")
@@ -132,14 +133,15 @@ def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
     base += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     added = []
     if low is None or any(w in low for w in CONTEXT_WORDS):
-        for m in CONTEXTS.finditer(text):
-            start, end = m.span(1) if m[1] is not None else m.span(2)
+        at = 0
+        while m := CONTEXTS.search(text, at):
+            start, end = m.span(2) if m[2] is not None else m.span(3)
             value = text[start:end].rstrip(".)")
-            end = start + len(value)
-            if len(value) < GUESS_LEAST or any(s < end and start < e for s, _, e in base):
-                continue
-            if re.search("[0-9]", value) and guess_bits(value) >= GUESS_BITS:
-                added.append((start, 3, end))
+            covered = any(s <= start and start + len(value) <= e for s, _, e in base)
+            found = not covered and len(value) >= GUESS_LEAST and re.search("[0-9]", value) is not None and guess_bits(value) >= GUESS_BITS
+            if found:
+                added.append((start, 3, start + len(value)))
+            at = end if covered or found else start  # a value that is none may be the next keyword
     return sorted(base), added
 
 
@@ -171,7 +173,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     ``spans`` lists kind:start:end of the base patterns and of the added ``guess`` spans,
     by start and kind; ``least_bits`` is the guess cost of the weakest credential value
     (null if there is none).  Null and empty texts have no spans.  Matches of one kind do
-    not overlap; an added span never overlaps a base span.  Repeated rows give repeated
+    not overlap; a value that a base span covers whole is not added, one that it covers in
+    part is added whole.  Repeated rows give repeated
     results.  Whole texts are scanned where they are read, without a shuffle.
     """
     schema = "doc_id long, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string, least_bits double"

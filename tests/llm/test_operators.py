@@ -305,6 +305,23 @@ def test_added_spans_leave_base_spans(spark):
     assert secrets.redact("a token=abcdefgh1 b") == "a <assign> b"
 
 
+def found_values(text):
+    return [text[s:e] for s, _, e in secrets.find_spans(text)[1]]
+
+
+@pytest.mark.parametrize("lead", ["AWS Secret Access Key: ", "secret key: ", "token value: ", "auth key = ", "password was ", '"secret_key": "', "private key token := "])
+def test_a_second_keyword_does_not_hide_the_value(lead):
+    assert found_values(f"my {lead}x7Kp0qLm93Zr8Tw\" and more") == ["x7Kp0qLm93Zr8Tw"]
+
+
+def test_a_value_that_a_base_span_covers_in_part_is_added_whole():
+    text = 'password="abc123$Kq8zTw!x4" end'
+    base, added = secrets.find_spans(text)
+    assert [(k, text[s:e]) for s, k, e in base] == [(0, 'password="abc123')]
+    assert [text[s:e] for s, _, e in added] == ["abc123$Kq8zTw!x4"]
+    assert secrets.redact(text) == '<assign>" end'
+
+
 # --- 6
 
 
