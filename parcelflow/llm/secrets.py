@@ -3,7 +3,9 @@
 Values that stand in a credential's context are judged by their guess cost: the cheapest
 way to write the value as words, dates, repeats, keyboard walks and spans that must be
 searched by brute force, found by dynamic programming over its positions.  A value that
-costs enough is a secret even where no fixed pattern fits.
+costs enough is a secret even where no fixed pattern fits.  Where prose may follow the
+keyword a value is scored only if it does not look like a word: after a bare space it needs
+a digit, after "is" or "was" something besides lower-case letters behind its first character.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ CONTEXTS = re.compile(
     re.ASCII | re.IGNORECASE,
 )
 CONTEXT_WORDS = ("pass", "pwd", "pin", "secret", "token", "credential", "auth", "bearer", "key", "://")
+#: Separators after which prose may follow, and what a value must have there to be scored.
+PROSE = {" ": re.compile("[0-9]"), "is": re.compile("(?<=.)[^a-z]"), "was": re.compile("(?<=.)[^a-z]")}
 GUESS_LEAST = 8
 #: Bits of guessing from which a value counts as a secret.
 GUESS_BITS = 40.0
@@ -123,6 +127,11 @@ def guess_bits(value: str) -> float:
     return cost[n]
 
 
+def _scored(value: str, separator: str | None) -> bool:
+    needed = PROSE.get((separator or ":").strip().lower() or " ")
+    return len(value) >= GUESS_LEAST and (needed is None or needed.search(value) is not None)
+
+
 def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans and added spans as (start, kind, end) in code points."""
     base = []
@@ -138,7 +147,7 @@ def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
             start, end = m.span(2) if m[2] is not None else m.span(3)
             value = text[start:end].rstrip(".)")
             covered = any(s <= start and start + len(value) <= e for s, _, e in base)
-            found = not covered and len(value) >= GUESS_LEAST and re.search("[0-9]", value) is not None and guess_bits(value) >= GUESS_BITS
+            found = not covered and _scored(value, m[1]) and guess_bits(value) >= GUESS_BITS
             if found:
                 added.append((start, 3, start + len(value)))
             at = end if covered or found else start  # a value that is none may be the next keyword

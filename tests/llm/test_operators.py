@@ -322,6 +322,17 @@ def test_a_value_that_a_base_span_covers_in_part_is_added_whole():
     assert secrets.redact(text) == '<assign>" end'
 
 
+@pytest.mark.parametrize("text", ["pwd = {}", "passphrase: {}", "https://bob:{}@host/", "password is {}", "password was {}"])
+@pytest.mark.parametrize("value", ["kQxZvTbWmPjR", "Zr$kLpQ!vBnM"])
+def test_values_without_a_digit_are_scored(text, value):
+    assert found_values(text.format(value)) == [value]
+    assert found_values(text.format("password")) == []
+
+
+def test_prose_after_a_keyword_is_no_secret():
+    assert found_values("the token generated yesterday, the password is incorrect and the secret was Wonderful") == []
+
+
 # --- 6
 
 
