@@ -60,8 +60,8 @@ class Encoder:
     """Ids as the tokenizer gives them for whole texts, at the cost of its new pre-tokens.
 
     A pre-token is encoded once by the tokenizer's model and its ids are remembered, since
-    text repeats its words.  Texts with ``OTHERS`` go to the tokenizer whole.  Strings of
-    special tokens in a text are ordinary text.
+    text repeats its words.  Texts with ``OTHERS`` or with the string of an added token,
+    which has an id of its own, go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -69,7 +69,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model.tokenize
         self.letters = byte_letters()
         self.split = re.compile(PRE_TOKENS).findall
@@ -81,7 +81,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit values."""
-        if OTHERS.search(text):
+        if OTHERS.search(text) or any(x in text for x in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self.known) > REMEMBERED:
             self.known.clear()

@@ -367,6 +367,18 @@ def test_remembered_pre_tokens_give_the_tokenizer_s_ids():
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_have_the_ids_of_the_tokenizer_as_loaded():
+    from tokenizers import Tokenizer
+
+    loaded, encoder = Tokenizer.from_file(packing.default_tokenizer()), packing.Encoder(packing.default_tokenizer())
+    added = [t.content for t in loaded.get_added_tokens_decoder().values()]
+    assert added
+    for text in ["a {} b", "{}", "x{}{}y", "中 {} é", "{}\n", "<|endoftext", "a b"]:
+        for token in added:
+            text = text.replace("{}", token)
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == loaded.encode(text, add_special_tokens=False).ids
+
+
 def test_best_fit_takes_the_tightest_window():
     rng = np.random.default_rng(3)
     lengths = np.sort(rng.integers(1, 101, 300))[::-1]
