@@ -1,9 +1,10 @@
 """Licences of documents: headers and licence files by TF-IDF, then inheritance by folder.
 
-Each line of a text, and each block of neighbouring lines in licence language, is compared
-with notice templates by the cosine of sparse TF-IDF vectors.  Document frequencies of the
-templates' terms are counted over all documents; any other term weighs as much as one seen
-once.  A document whose words are mostly licence passages is a licence file and speaks for
+Passages of a text are compared with notice templates, and with passages of whole licences,
+by the cosine of sparse TF-IDF vectors: each line, each block of neighbouring lines in licence
+language, and runs of words of the sizes of templates wherever they begin.  Document
+frequencies of the templates' terms are counted over all documents; any other term weighs as
+much as one seen once.  The licence with the most words in its passages names a document.  A document whose words are mostly licence passages is a licence file and speaks for
 its folder; documents without a notice of their own take that of the nearest folder above.
 """
 
@@ -14,18 +15,25 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.llm.arrays import slices
+from parcelflow.llm.licence_bodies import BODIES
 from parcelflow.session import work_dir
 
 #: Cosine from which a passage counts as a notice.
 SIMILAR = 0.7
 #: Share of a document's words in notices from which it is a licence file.
 FILE_SHARE = 0.5
+#: Words of a passage of a whole licence, and between the starts of two; texts are read alike.
+PASSAGE, PASSAGE_STEP = 60, 20
+#: Sizes of the runs of words held against the short notices.
+RUNS = (8, 16, 32, 64)
 TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
 #: Short forms of public licence notices.
@@ -76,56 +84,86 @@ def terms(text: str) -> list[str]:
     return TERM.findall(text.lower())
 
 
+def passages(count: int) -> list[int]:
+    """Where the passages of a text of ``count`` words begin; the last one ends with it."""
+    last = max(count - PASSAGE, 0)
+    return sorted({*range(0, last, PASSAGE_STEP), last})
+
+
+NOTICES = [(name, terms(text)) for name, forms in TEMPLATES.items() for text in forms]
+PASSAGES = [(name, words[at : at + PASSAGE]) for name, text in BODIES.items() for words in [terms(text)] for at in passages(len(words))]
+VOCABULARY = frozenset(w for _, ws in NOTICES + PASSAGES for w in ws)
+
+
 @dataclass
 class Templates:
-    """TF-IDF vectors of the templates, of length one, by term."""
+    """TF-IDF vectors of templates, of length one, by term."""
 
     idf: dict[str, float]
     other: float
     names: list[str]
-    by_term: dict[str, list[tuple[int, float]]]
+    which: np.ndarray
+    by_term: dict[str, tuple[np.ndarray, np.ndarray]]
     least_terms: int
+    needed: frozenset[str]
 
-    def best(self, words: list[str], similar: float) -> tuple[float, str] | None:
-        """The nearest template of a passage, if it is near enough; ties go to the first name."""
+    def near(self, words: list[str], similar: float) -> dict[str, float]:
+        """The licences with a template near enough to a passage, and how near."""
         counts = Counter(words)
         if sum(w in self.by_term for w in counts) < self.least_terms:
-            return None
-        dot = [0.0] * len(self.names)
-        square = 0.0
+            return {}
+        square = known = 0.0
         for word, n in counts.items():
             weight = n * self.idf.get(word, self.other)
             square += weight * weight
-            for k, share in self.by_term.get(word, ()):
-                dot[k] += weight * share
-        score = max(dot)
-        name = min(self.names[k] for k, d in enumerate(dot) if d >= score - 1e-12)
-        score = min(1.0, score / math.sqrt(square))
-        return (score, name) if score >= similar else None
-
-
-def fit_templates(frequencies: dict[str, int], documents: int, similar: float = SIMILAR) -> Templates:
-    texts = [(name, terms(text)) for name, forms in TEMPLATES.items() for text in forms]
-    known = {w for _, ws in texts for w in ws}
-    idf = {w: math.log((documents + 1) / (frequencies.get(w, 0) + 1)) + 1 for w in known}
-    by_term: dict[str, list[tuple[int, float]]] = {}
-    least = 10**9
+            known += weight * weight if word in self.by_term else 0.0
+        if known < similar * similar * square * (1 - 1e-9):  # a cosine is at most the norm of the part in known terms
+            return {}
+        dot = np.zeros(len(self.which))
+        for word, n in counts.items():
+            if word in self.by_term:
+                at, share = self.by_term[word]
+                dot[at] += n * self.idf[word] * share
+        score = np.minimum(dot / math.sqrt(square), 1.0)
+        best: dict[str, float] = {}
+        for k in np.flatnonzero(score >= similar).tolist():
+            name = self.names[self.which[k]]
+            best[name] = max(best.get(name, 0.0), float(score[k]))
+        return best
+
+
+def _fit(texts: list[tuple[str, list[str]]], frequencies: dict[str, int], documents: int, similar: float) -> Templates:
+    idf = {w: math.log((documents + 1) / (frequencies.get(w, 0) + 1)) + 1 for _, ws in texts for w in ws}
+    names = sorted({name for name, _ in texts})
+    by_term: dict[str, tuple[list[int], list[float]]] = {}
+    least, needed = 10**9, set()
     for k, (_, ws) in enumerate(texts):
         vector = {w: n * idf[w] for w, n in Counter(ws).items()}
         norm = math.sqrt(sum(v * v for v in vector.values()))
-        shares = sorted((v / norm for v in vector.values()), reverse=True)
+        shares = sorted(((v / norm, w) for w, v in vector.items()), reverse=True)
         total, need = 0.0, 0
-        for share in shares:  # a cosine is at most the norm of the template's part that is matched
+        for share, _ in shares:  # a cosine is at most the norm of the template's part that is matched
             total, need = total + share * share, need + 1
             if math.sqrt(total) >= similar - 1e-9:
                 break
         least = min(least, need)
+        left = 1.0
+        for share, w in shares:  # without all of these no passage is near enough
+            if math.sqrt(max(left, 0.0)) < similar - 1e-9:
+                break
+            left -= share * share
+            needed.add(w)
         for w, v in vector.items():
-            by_term.setdefault(w, []).append((k, v / norm))
-    return Templates(idf, math.log(documents + 1) + 1, [name for name, _ in texts], by_term, least)
+            at, share = by_term.setdefault(w, ([], []))
+            at.append(k)
+            share.append(v / norm)
+    arrays = {w: (np.array(at), np.array(share)) for w, (at, share) in by_term.items()}
+    return Templates(idf, math.log(documents + 1) + 1, names, np.array([names.index(n) for n, _ in texts]), arrays, least, frozenset(needed))
 
 
-VOCABULARY = frozenset(w for forms in TEMPLATES.values() for text in forms for w in terms(text))
+def fit_templates(frequencies: dict[str, int], documents: int, similar: float = SIMILAR) -> tuple[Templates, Templates]:
+    """Templates of the short notices and of the passages of whole licences."""
+    return _fit(NOTICES, frequencies, documents, similar), _fit(PASSAGES, frequencies, documents, similar)
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,40 +176,61 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"term": pa.array(names, pa.string()), "n": pa.array([batch.num_rows, *counts.values()], pa.int64())})
 
 
-def find_notice(text: str, templates: Templates, similar: float = SIMILAR) -> tuple[str | None, float, float]:
-    """The best notice of a whole text, its score, and the share of the text's words in notices."""
-    best: tuple[float, str] | None = None
-    block: list[str] = []
-    total = inside = lone = 0
-
-    def better(found: tuple[float, str] | None) -> None:
-        nonlocal best
-        if found and (best is None or (-found[0], found[1]) < (-best[0], best[1])):
-            best = found
+def _sum(flags: list[bool]) -> list[int]:
+    return [0, *accumulate(flags)]
 
-    def close() -> None:
-        nonlocal block, inside, lone
-        found = templates.best(block, similar) if block else None
-        better(found)
-        inside += len(block) if found else lone
-        block, lone = [], 0
 
+def find_notice(text: str, templates: tuple[Templates, Templates], similar: float = SIMILAR) -> tuple[str | None, float, float, int]:
+    """The notice of a whole text, its best score, the share of the text's words in notices, and the words in this one."""
+    short, whole = templates
+    words: list[str] = []
+    lines = [0]
     for line in text.split("\n"):
-        words = terms(line)
-        total += len(words)
-        matched = sum(w in templates.by_term for w in words)
-        if not words or 2 * matched < len(words):
-            if words:
-                close()
-            found = templates.best(words, similar) if matched >= templates.least_terms else None
-            inside += len(words) if found else 0
-        else:
-            block += words
-            found = templates.best(words, similar)
-            lone += len(words) if found else 0
-        better(found)
-    close()
-    return (best[1], best[0], inside / total) if best else (None, 0.0, inside / max(total, 1))
+        words += terms(line)
+        lines.append(len(words))
+    total = len(words)
+    scores: dict[str, float] = {}
+    inside: dict[str, bytearray] = {}
+
+    def hold(against: Templates, start: int, end: int) -> None:
+        for name, score in against.near(words[start:end], similar).items():
+            scores[name] = max(scores.get(name, 0.0), score)
+            inside.setdefault(name, bytearray(total))[start:end] = b"\1" * (end - start)
+
+    matched, needed = _sum([w in short.by_term for w in words]), _sum([w in short.needed for w in words])
+    block = 0
+    for start, end in zip(lines, lines[1:], strict=False):
+        if start == end:
+            continue
+        if 2 * (matched[end] - matched[start]) < end - start:  # not licence language: ends a block
+            if needed[start] > needed[block]:
+                hold(short, block, start)
+            block = end
+        if needed[end] > needed[start]:
+            hold(short, start, end)
+    if needed[total] > needed[block]:
+        hold(short, block, total)
+    if needed[total]:
+        found: list[tuple[float, int, int, str]] = []
+        for size in RUNS:
+            for start in range(0, total - size + 1, size // 4):
+                end = start + size
+                if needed[end] > needed[start] and 2 * (matched[end] - matched[start]) >= size:
+                    found += [(-score, start, end, name) for name, score in short.near(words[start:end], similar).items()]
+        for score, start, end, name in sorted(found):  # words beside a notice that is known already are not part of it
+            scores[name] = max(scores.get(name, 0.0), -score)
+            if not any(inside.setdefault(name, bytearray(total))[start:end]):
+                inside[name][start:end] = b"\1" * (end - start)
+    known = _sum([w in whole.by_term for w in words])
+    for start in passages(total) if total else ():
+        end = min(start + PASSAGE, total)
+        if 2 * (known[end] - known[start]) >= end - start:
+            hold(whole, start, end)
+    if not scores:
+        return None, 0.0, 0.0, 0
+    covered = int(np.count_nonzero(np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in inside.values()])))
+    words_in, score, name = min((-inside[n].count(1), -scores[n], n) for n in scores)
+    return name, -score, covered / total, -words_in
 
 
 def scan_licenses(files: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -179,8 +238,8 @@ def scan_licenses(files: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
     ``scope`` is ``own`` for a notice in the text, ``inherited`` for that of a licence file
     in the nearest folder from the file's own upwards (``from_dir``), null with a null
-    licence if there is neither.  Among a folder's licence files the best score speaks,
-    then the least name.  Null and empty texts have no notice.  A null path lies in no
+    licence if there is neither.  Among a folder's licence files the one with the most words
+    in its notice speaks, then the best score, then the least name.  Null and empty texts have no notice.  A null path lies in no
     folder and inherits nothing.  Repeated rows give repeated results.  Whole texts are
     compared, where they are read; what reaches the driver is one count per template term.
     """
@@ -195,18 +254,18 @@ def scan_licenses(files: DataFrame, similar: float = SIMILAR) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 found = [find_notice(t.as_py() or "", templates, similar) for t in part.column("text")]
-                name, score, share = zip(*found, strict=True)
+                name, score, share, size = zip(*found, strict=True)
                 yield pa.RecordBatch.from_pydict(
-                    {"doc_id": part.column("doc_id"), "path": part.column("path"), "notice": pa.array(name, pa.string()), "score": pa.array(score), "share": pa.array(share)}
+                    {"doc_id": part.column("doc_id"), "path": part.column("path"), "notice": pa.array(name, pa.string()), "score": pa.array(score), "share": pa.array(share), "size": pa.array(size, pa.int64())}
                 )
 
-    own = rows.mapInArrow(scan, "doc_id long, path string, notice string, score double, share double")
+    own = rows.mapInArrow(scan, "doc_id long, path string, notice string, score double, share double, size long")
     parent = F.when(F.instr("path", "/") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.when(F.col("path").isNotNull(), ""))
     own.withColumn("dir", parent).write.parquet(f"{folder}/own")
     own = spark.read.parquet(f"{folder}/own")
 
     speaks = own.where((F.col("share") >= FILE_SHARE) & F.col("notice").isNotNull() & F.col("dir").isNotNull())
-    speaks = speaks.groupBy("dir", "notice").agg(F.max("score").alias("score")).groupBy("dir").agg(F.min(F.struct(-F.col("score"), "notice")).alias("s"))
+    speaks = speaks.groupBy("dir").agg(F.min(F.struct(-F.col("size"), -F.col("score"), "notice")).alias("s"))
     speaks = speaks.select(F.col("dir").alias("from_dir"), F.col("s.notice").alias("inherited"))
     dirs = own.where("notice IS NULL AND dir IS NOT NULL").select("dir").distinct()
     depth = F.size(F.split("dir", "/"))

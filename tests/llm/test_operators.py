@@ -469,6 +469,24 @@ def test_notices_and_folders(spark):
     assert found == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("name", sorted(licenses.BODIES))
+@pytest.mark.parametrize("width", [0, 9, 14])
+def test_whole_licences_are_licence_files(name, width):
+    """However the text is wrapped, behind a heading and a line of the owner's."""
+    templates = licenses.fit_templates({}, 1000)
+    words = f"Some Project Copyright 2020 Jane Doe. All rights reserved. {licenses.BODIES[name]}".split()
+    text = "\n".join(" ".join(words[k : k + width]) for k in range(0, len(words), width)) if width else " ".join(words)
+    found, score, share, _ = licenses.find_notice(text, templates)
+    assert found == name and score >= licenses.SIMILAR and share >= licenses.FILE_SHARE
+
+
+def test_a_notice_inside_a_longer_line_is_found():
+    templates = licenses.fit_templates({}, 1000)
+    text = "The parser below was written by many people over several long winters and is licensed under the Apache License, Version 2.0, while its logo belongs to nobody whom we could ever find or ask."
+    assert licenses.find_notice(text, templates)[0] == "Apache-2.0"
+    assert licenses.find_notice("Nothing of this kind can be read in a text about winters and parsers, written by the people.", templates)[0] is None
+
+
 # --- 9
 
 
