@@ -1,9 +1,10 @@
+import functools
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.operators import carry, changes as change_operators
+from parcelflow.operators import carry, scan, changes as change_operators
 from parcelflow.operators.changes import order_within_key, route
 from parcelflow.operators.daily import daily_totals, running_snapshots
 from parcelflow.operators.latest import first_by, latest_by
@@ -119,3 +120,17 @@ def test_one_change_may_give_several_facts(spark):
     even, big = F.col("id") % 2 == 0, F.col("id") > 1
     parts = split_by(emit_facts(rows, {"even": even, "big": big}), ["even", "big"])
     assert {name: sorted(r.id for r in df.collect()) for name, df in parts.items()} == {"even": [0, 2], "big": [2, 3]}
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_running_values_cross_ranges(spark, ranges):
+    rng = random.Random(ranges)
+    keys = ["hot"] * 200 + ["a", "b", None, None, "c"] * 6
+    rng.shuffle(keys)
+    rows = [(key, i, rng.choice([None, rng.randrange(-9, 9)])) for i, key in enumerate(keys)]
+    df = scan.in_ranges(spark.createDataFrame(rows, "key STRING, at BIGINT, value BIGINT").repartition(3), "key", ["at"], ranges)
+    assert df.groupBy(scan.RANGE).count().agg({"count": "max"}).first()[0] < 2.5 * len(rows) / ranges + 5
+    got = {(r.key, r.at): (r.total, r.parity) for r in scan.running(df, "key", ["at"], total=(scan.SUM, F.col("value")), parity=(scan.XOR, F.col("value"))).collect()}
+    for key, at, _ in rows:
+        seen = [v for k, a, v in rows if k == key and a <= at and v is not None]
+        assert got[key, at] == ((sum(seen), functools.reduce(int.__xor__, seen)) if seen else (None, None))
