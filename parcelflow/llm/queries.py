@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import embeddings, exact, language, licenses, lines, minhash, mixing, packing, secrets, substring
+from parcelflow.llm import embeddings, exact, language, licenses, lines, minhash, mixing, packing, prefix_trie, secrets, substring
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,9 +59,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_documents(spark, sf_dir))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_language_id, op3_embedding_dedup, op4_minhash_dedup, op5_secret_scan, op6_packing, op7_mixing, op8_license_scan, op9_line_dedup, op10_exact_dedup)
+    for f in (op1_substring_dedup, op2_language_id, op3_embedding_dedup, op4_minhash_dedup, op5_secret_scan, op6_packing, op7_mixing, op8_license_scan, op9_line_dedup, op10_exact_dedup, op13_prefix_trie)
 }
 
 ORACLE = {
@@ -74,4 +78,42 @@ ORACLE = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op13_prefix_trie": """
+        WITH own AS (
+            SELECT conv_id AS c,
+                   list(struct_pack(role := coalesce(role, ''), said := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), h AS (
+            SELECT c, turns, xor(list_reduce(
+                       list_concat([4294967295::BIGINT], list_transform(range(length(c::VARCHAR)), lambda i: ascii(substring(c::VARCHAR, i::INT + 1, 1))::BIGINT)),
+                       lambda crc, byte: list_reduce(
+                           list_concat([xor(crc, byte)], range(8)),
+                           lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)
+                   ), 4294967295::BIGINT) % 6 AS h
+            FROM own
+        ), whole AS (
+            SELECT h.c, list_concat(coalesce(list_slice(donor.turns, 1, h.h), []), list_slice(h.turns, h.h + 1, len(h.turns))) AS turns
+            FROM h LEFT JOIN own AS donor ON donor.c = h.c - h.c % 100
+        ), begun AS (
+            SELECT c, len(turns) AS n, unnest(range(len(turns) + 1)) AS d, turns FROM whole
+        ), node AS (
+            SELECT d, list_slice(turns, 1, d) AS name, min(c) AS conv_id, count(*) AS n_convs,
+                   coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '') AS ends
+            FROM begun GROUP BY 1, 2
+        ), child AS (
+            SELECT d - 1 AS d, list_slice(name, 1, d - 1) AS name, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1, 2
+        ), each AS (
+            SELECT node.*, coalesce(n_children, 0) AS n_children,
+                   CASE WHEN node.d = 0 THEN 0 ELSE (n_convs - 1) * length(node.name[node.d].said) END AS saved
+            FROM node LEFT JOIN child ON child.d = node.d AND child.name = node.name
+        ), upward AS (
+            SELECT unnest(range(d + 1)) AS up, name, saved, CAST(n_children = 0 AS BIGINT) AS leaf FROM each
+        ), total AS (
+            SELECT up AS d, list_slice(name, 1, up) AS name, sum(saved) AS saved_tokens, sum(leaf) AS n_leaves FROM upward GROUP BY 1, 2
+        )
+        SELECT each.conv_id, each.d AS depth, parent.conv_id AS parent_conv_id, each.n_convs, each.n_children,
+               total.n_leaves::BIGINT AS n_leaves, total.saved_tokens::BIGINT AS saved_tokens, sha256(each.ends) AS ends_sha256
+        FROM each JOIN total ON total.d = each.d AND total.name = each.name
+        LEFT JOIN node AS parent ON parent.d = each.d - 1 AND parent.name = list_slice(each.name, 1, each.d - 1)
+    """,
 }
