@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import embeddings, exact, language, licenses, lines, minhash, mixing, negatives, packing, prefix_trie, secrets, substring
+from parcelflow.llm import embeddings, exact, language, licenses, lines, minhash, mixing, negatives, packing, prefix_trie, secrets, substring, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,13 +65,17 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(moved, F.col("vec_id") % 100 == 0)
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_language_id, op3_embedding_dedup, op4_minhash_dedup, op5_secret_scan, op6_packing, op7_mixing, op8_license_scan, op9_line_dedup, op10_exact_dedup, op11_hard_negatives, op13_prefix_trie)
+    for f in (op1_substring_dedup, op2_language_id, op3_embedding_dedup, op4_minhash_dedup, op5_secret_scan, op6_packing, op7_mixing, op8_license_scan, op9_line_dedup, op10_exact_dedup, op11_hard_negatives, op12_toxicity, op13_prefix_trie)
 }
 
 ORACLE = {
