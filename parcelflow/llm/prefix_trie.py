@@ -67,38 +67,42 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     convs = convs.select("conv_id", "own", (conv - conv % DONOR_EVERY).alias("donor"), (F.crc32(conv.cast("string")) % (MOST_SHARED + 1)).alias("h"))
     first = F.struct("position", "a", "b", "chars")
     # at most MOST_SHARED turns of a conversation
-    donors = turns.where((conv % DONOR_EVERY == 0) & (F.col("position") <= MOST_SHARED)).groupBy(conv.alias("donor")).agg(F.collect_list(first).alias("given"))
-    convs = convs.join(donors, "donor", "left")
-    given = F.filter(F.coalesce("given", F.array().cast("array<struct<position:long,a:long,b:long,chars:long>>")), lambda t: t["position"] <= F.col("h"))
-    convs = convs.withColumn("given", given).withColumn("taken", F.size("given").cast("long"))
+    donors = turns.where((conv % DONOR_EVERY == 0) & (F.col("position") <= MOST_SHARED)).groupBy(conv.alias("donor")).agg(F.sort_array(F.collect_list(first)).alias("given"))
+    none = F.array().cast("array<struct<position:long,a:long,b:long,chars:long>>")
+    given = F.filter(F.coalesce("given", none), lambda t: t["position"] <= F.col("h"))
+    convs = convs.join(donors, "donor", "left").withColumn("given", given).withColumn("taken", F.size("given").cast("long"))
     own_length = F.greatest(F.lit(0).cast("long"), F.col("own") - F.col("h"))
-    convs = convs.select("conv_id", "h", "taken", "given", (F.col("taken") + own_length).alias("length"))
+    zero = F.lit(0).cast("long")
 
     def lanes(depth: Column, a: Column, b: Column) -> list[Column]:
         return [_turn_value(lane, depth, a, b).alias(name) for lane, name in ((3, "p"), (4, "q"))]
 
-    # the donor's turns: at most MOST_SHARED of each conversation, added up in place
-    lent = convs.select("conv_id", "length", F.explode("given").alias("t")).select("conv_id", "length", F.col("t.position").alias("depth"), F.col("t.a").alias("a"), F.col("t.b").alias("b"), F.col("t.chars").alias("chars"))
-    lent = lent.select("conv_id", "length", "depth", "chars", *lanes(F.col("depth"), F.col("a"), F.col("b")))
-    so_far = Window.partitionBy("conv_id").orderBy("depth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lent = lent.select(
-        "conv_id", "length", "depth", "chars", F.col("p").alias("last_p"), F.col("q").alias("last_q"),
-        F.bit_xor("p").over(so_far).alias("p"), F.bit_xor("q").over(so_far).alias("q"), F.sum("chars").over(so_far).alias("sum_chars"),
-    )
-    totals = lent.groupBy("conv_id").agg(F.max_by(F.struct("p", "q", "sum_chars"), "depth").alias("begun"))
-    facts = convs.join(totals, "conv_id", "left").select("conv_id", "h", "taken", "length", "begun")
+    def folded(t: Column, name: str, put) -> Column:
+        """Over the donor's turns up to ``t``: at most MOST_SHARED of them."""
+        return F.aggregate(F.slice("values", F.lit(1), t["position"].cast("int")), zero, lambda s, x: put(s, x[name]))
+
+    xor = lambda s, x: s.bitwiseXOR(x)
+    values = F.transform("given", lambda t: F.struct(t["position"].alias("position"), t["chars"].alias("chars"), *lanes(t["position"], t["a"], t["b"])))
+    convs = convs.select("conv_id", "h", "taken", (F.col("taken") + own_length).alias("length"), values.alias("values"))
+    lent = F.transform("values", lambda t: F.struct(
+        t["position"].alias("depth"), t["chars"].alias("chars"), t["p"].alias("last_p"), t["q"].alias("last_q"),
+        folded(t, "p", xor).alias("p"), folded(t, "q", xor).alias("q"), folded(t, "chars", lambda s, x: s + x).alias("sum_chars"),
+    ))
+    convs = written(convs.select("conv_id", "h", "taken", "length", lent.alias("lent")), "rebuilt")
+    begun = F.try_element_at("lent", F.lit(-1))
+    facts = convs.select("conv_id", "h", "taken", "length", begun.alias("begun"))
     own = turns.join(facts, "conv_id").where(F.col("position") > F.col("h"))
     depth = (F.col("position") - F.col("h") + F.col("taken")).cast("long")
-    own = own.select("conv_id", RANGE, "turn", "a", "b", "position", "length", "begun", "chars", depth.alias("depth"))
+    own = own.select("conv_id", RANGE, "a", "b", "position", "length", "begun", "chars", depth.alias("depth"))
     own = own.select("*", *lanes(F.col("depth"), F.col("a"), F.col("b"))).withColumnsRenamed({"p": "last_p", "q": "last_q"})
     own = running(own, "conv_id", ["position"], p=(XOR, F.col("last_p")), q=(XOR, F.col("last_q")), sum_chars=(SUM, F.col("chars")))
-    zero = F.lit(0).cast("long")
     own = own.select(
         "conv_id", "length", "depth", "chars", "last_p", "last_q",
         F.col("p").bitwiseXOR(F.coalesce("begun.p", zero)).alias("p"), F.col("q").bitwiseXOR(F.coalesce("begun.q", zero)).alias("q"),
         (F.col("sum_chars") + F.coalesce("begun.sum_chars", zero)).alias("sum_chars"),
     )
-    return own.unionByName(lent), convs.select("conv_id", "length")
+    lent_rows = convs.select("conv_id", "length", F.explode("lent").alias("t")).select("conv_id", "length", "t.*")
+    return own.unionByName(lent_rows), convs.select("conv_id", "length")
 
 
 def plain(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -111,64 +115,67 @@ def plain(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     return own.select("conv_id", "length", depth.alias("depth"), "chars", "last_p", "last_q", "p", "q", "sum_chars"), convs
 
 
+def _batch(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], list(kinds))
+
+
+_NAME = {"p": pa.int64(), "q": pa.int64(), "depth": pa.int64()}
+_PIECE = {**_NAME, "first": pa.int64(), "n": pa.int64(), "all_chars": pa.int64(), "ids": pa.string()}
+_END = {**_NAME, "conv_id": pa.int64(), "n_convs": pa.int64(), "all_chars": pa.int64(), "ends_sha256": pa.string()}
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[pa.RecordBatch]:
-    """Sorted (p, q, depth, conv_id) to rows that hold up to about ``chars`` characters of a node's list."""
-    node, ids, size = None, [], 0
-    out: list[tuple] = []
+    """Sorted (p, q, depth, conv_id, sum_chars) to rows that hold up to about ``chars`` characters of a node's list."""
+    node, ids, out = None, [], []
 
-    def batch() -> pa.RecordBatch:
-        columns = list(zip(*out, strict=True)) or [[]] * 5
-        kinds = [pa.int64()] * 4 + [pa.string()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["p", "q", "depth", "first", "ids"])
+    def piece() -> tuple:
+        return (*node[:3], ids[0], len(ids), node[3], ",".join(map(str, ids)))
 
     for part in batches:
-        for p, q, depth, conv in zip(*[part.column(c).to_pylist() for c in ("p", "q", "depth", "conv_id")], strict=True):
-            if ids and (node != (p, q, depth) or size > chars):
-                out.append((*node, ids[0], ",".join(map(str, ids))))
-                ids, size = [], 0
-            node = (p, q, depth)
+        for p, q, depth, conv, total in zip(*[part.column(c).to_pylist() for c in ("p", "q", "depth", "conv_id", "sum_chars")], strict=True):
+            if ids and (node[:3] != (p, q, depth) or len(ids) * 21 > chars):
+                out.append(piece())
+                ids = []
+            node = (p, q, depth, total)
             ids.append(conv)
-            size += 21
-        yield batch()
+        yield _batch(out, _PIECE)
         out = []
     if ids:
-        out.append((*node, ids[0], ",".join(map(str, ids))))
-        yield batch()
+        yield _batch([piece()], _PIECE)
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted pieces of member lists to one digest per node; a list of any length passes through piecewise."""
-    node, digest = None, None
-    out: list[tuple] = []
-
-    def batch() -> pa.RecordBatch:
-        columns = list(zip(*out, strict=True)) or [[]] * 4
-        kinds = [pa.int64()] * 3 + [pa.string()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["p", "q", "depth", "ends_sha256"])
-
+    """Sorted pieces of member lists to one row per node; a list of any length passes through piecewise."""
+    node, digest, first, count, total, out = None, None, 0, 0, 0, []
     for part in batches:
-        for p, q, depth, ids in zip(*[part.column(c).to_pylist() for c in ("p", "q", "depth", "ids")], strict=True):
+        for p, q, depth, least, n, chars, ids in zip(*[part.column(c).to_pylist() for c in _PIECE], strict=True):
             if node != (p, q, depth):
                 if node is not None:
-                    out.append((*node, digest.hexdigest()))
-                node, digest = (p, q, depth), hashlib.sha256()
+                    out.append((*node, first, count, total, digest.hexdigest()))
+                node, digest, first, count, total = (p, q, depth), hashlib.sha256(), least, 0, chars
             else:
                 digest.update(b",")
             digest.update(ids.encode())
-        yield batch()
+            count += n
+        yield _batch(out, _END)
         out = []
     if node is not None:
-        out.append((*node, digest.hexdigest()))
-        yield batch()
+        yield _batch([(*node, first, count, total, digest.hexdigest())], _END)
 
 
-def member_digests(members: DataFrame, chars: int = LIST_CHARS) -> DataFrame:
-    """SHA-256 of the comma-joined ascending ids (p, q, depth, conv_id) of each node."""
+def endings(members: DataFrame, chars: int = LIST_CHARS) -> DataFrame:
+    """One row per node that conversations (p, q, depth, conv_id, sum_chars) end at.
+
+    Columns: the node, conv_id (smallest), n_convs, all_chars (of all its turns), ends_sha256
+    (of the comma-joined ascending ids).
+    """
     parts = max(1, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     by = ["p", "q", "depth"]
     pieces = members.repartitionByRange(parts, *by, "conv_id").sortWithinPartitions(*by, "conv_id")
-    pieces = pieces.mapInArrow(partial(_pieces, chars=chars), "p long, q long, depth long, first long, ids string")
-    return pieces.repartition(*by).sortWithinPartitions(*by, "first").mapInArrow(_digests, "p long, q long, depth long, ends_sha256 string")
+    pieces = pieces.mapInArrow(partial(_pieces, chars=chars), "p long, q long, depth long, first long, n long, all_chars long, ids string")
+    pieces = pieces.repartition(*by).sortWithinPartitions(*by, "first")
+    return pieces.mapInArrow(_digests, "p long, q long, depth long, conv_id long, n_convs long, all_chars long, ends_sha256 string")
 
 
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -196,17 +203,15 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     turns = stored(turns, "turns")
     last = turns.where(F.col("depth") == F.col("length")).select("conv_id", F.col("depth"), "p", "q", "sum_chars")
     none = convs.where("length = 0").select("conv_id", zero.alias("depth"), zero.alias("p"), zero.alias("q"), zero.alias("sum_chars"))
-    members = stored(last.unionByName(none), "members")
-    ends = members.groupBy("depth", "p", "q").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"), F.max("sum_chars").alias("all_chars"))
-    ends = stored(ends.join(member_digests(members), ["depth", "p", "q"]), "ends")
+    ends = stored(endings(last.unionByName(none)), "ends")
 
     # one conversation stands for its copies; where does its beginning belong to it alone?
     whole = ends.select("conv_id", "n_convs", "all_chars", "ends_sha256")
     kept = stored(turns.join(whole, "conv_id"), "distinct")
     at_bounds = kept.where(F.col("depth") % BAND == 0).select("conv_id", "depth", "p", "q")
     alone = at_bounds.groupBy("depth", "p", "q").agg(F.count("*").alias("n"), F.min("conv_id").alias("conv_id")).where("n = 1")
-    alone = stored(alone.groupBy("conv_id").agg(F.min("depth").alias("alone")), "alone")
-    kept = kept.join(alone, "conv_id", "left")
+    alone = alone.groupBy("conv_id").agg(F.min("depth").alias("alone"))
+    kept = stored(kept.join(alone, "conv_id", "left"), "kept")
     tail_chars = F.col("all_chars") - F.col("sum_chars")
     tails = kept.where(F.col("depth") > F.col("alone")).select(
         "conv_id", "depth", F.col("conv_id").alias("parent_conv_id"), "n_convs",
@@ -223,25 +228,19 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
         ((F.col("n_convs") - 1) * tail_chars).alias("saved"), F.when(F.col("depth") == F.col("length"), F.col("ends_sha256")).alias("ends_sha256"),
     )
     turnless = ends.where("depth = 0").select("conv_id", "depth", "p", "q", "n_convs", zero.alias("below"), zero.alias("saved"), "ends_sha256")
-    entering = stored(entering.unionByName(turnless), "entering")
     # the turns of a band, never more than BAND of them
     turn = F.struct("depth", "last_p", "last_q", "chars")
     held = kept.where(F.col("depth") <= foot).groupBy("conv_id", F.floor((F.col("depth") - 1) / BAND).alias("band"))
     held = stored(held.agg(F.sort_array(F.collect_list(turn)).alias("band_turns")), "bands")
-
-    def with_turns(nodes: DataFrame, depth: int) -> DataFrame:
-        """The turns of their band up to ``depth``, from the conversation that names a node."""
-        if depth == 0:
-            return nodes.withColumn("band_turns", F.array().cast(held.schema["band_turns"].dataType))
-        own = held.where(F.col("band") == (depth - 1) // BAND).select("conv_id", "band_turns")
-        return nodes.join(own, "conv_id", "left").withColumn("band_turns", F.filter("band_turns", lambda t: t["depth"] <= depth))
+    entering = entering.unionByName(turnless).withColumn("band", F.floor((F.col("depth") - 1) / BAND))
+    entering = stored(entering.join(held, ["conv_id", "band"], "left").drop("band"), "entering")
+    no_turns = F.array().cast(held.schema["band_turns"].dataType)
 
     deepest = entering.agg(F.max("depth")).first()[0]
     levels: list[DataFrame] = []
     nodes = None
     for depth in range(deepest if deepest is not None else -1, -1, -1):
-        here = entering.where(F.col("depth") == depth).select("conv_id", "p", "q", "n_convs", "below", "saved", "ends_sha256", F.lit(1).cast("long").alias("leaves"))
-        here = with_turns(here, depth)
+        here = entering.where(F.col("depth") == depth).select("conv_id", "p", "q", "n_convs", "below", "saved", "ends_sha256", F.lit(1).cast("long").alias("leaves"), F.coalesce("band_turns", no_turns).alias("band_turns"))
         if nodes is not None:
             # strip the last turn of every node of the depth below
             gone = F.try_element_at("band_turns", F.lit(-1))
@@ -250,8 +249,9 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
                 F.lit(1).cast("long").alias("below"), F.col("saved_tokens").alias("saved"), F.lit(None).cast("string").alias("ends_sha256"),
                 F.col("n_leaves").alias("leaves"), F.slice("band_turns", F.lit(1), F.size("band_turns") - 1).alias("band_turns"),
             )
-            if depth % BAND == 0:  # the turns of the next band
-                peeled = with_turns(peeled.drop("band_turns"), depth)
+            if depth and depth % BAND == 0:  # the turns of the next band, of the conversation that names the node
+                above = held.where(F.col("band") == depth // BAND - 1).select("conv_id", "band_turns")
+                peeled = peeled.drop("band_turns").join(above, "conv_id")
             here = here.unionByName(peeled)
         made = here.groupBy("p", "q").agg(
             F.min("conv_id").alias("conv_id"), F.sum("n_convs").alias("n_convs"), F.sum("below").alias("n_children"),

@@ -74,11 +74,11 @@ def test_trie_of_conversations_as_they_are(spark):
 
 def test_long_member_lists_pass_in_pieces(spark):
     ids = [7, -3, 10**15, *range(100, 900)]
-    rows = [(1, 2, 3, i) for i in ids] + [(1, 2, 4, 8)]
+    rows = [(1, 2, 3, i, 50) for i in ids] + [(1, 2, 4, 8, 9)]
     random.Random(1).shuffle(rows)
-    got = prefix_trie.member_digests(spark.createDataFrame(rows, "p long, q long, depth long, conv_id long"), chars=100).collect()
-    want = {3: ",".join(map(str, sorted(ids))), 4: "8"}
-    assert {r.depth: r.ends_sha256 for r in got} == {d: hashlib.sha256(t.encode()).hexdigest() for d, t in want.items()} and len(got) == 2
+    got = prefix_trie.endings(spark.createDataFrame(rows, "p long, q long, depth long, conv_id long, sum_chars long"), chars=100).collect()
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert sorted(tuple(r)[2:] for r in got) == [(3, -3, len(ids), 50, digest(",".join(map(str, sorted(ids))))), (4, 8, 1, 9, digest("8"))]
 
 
 def test_trie_of_nothing(spark):
