@@ -57,7 +57,7 @@ def _same_kind(spark_kind: str, sql_kind: str) -> bool:
 
 def main(argv: list[str]) -> int:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    spark = build_session("checks", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = build_session("checks", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("OFF")
     con = duckdb.connect()
     for name in TABLES:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -13,12 +13,11 @@ from parcelflow.operators.changes import decode_changes
 from parcelflow.operators.daily import latest_published
 from parcelflow.plans import facts
 from parcelflow.plans.marts import ALL_MARTS
-from parcelflow.session import STATE_STORE_CONF, conf_scope, work_dir
+from parcelflow.session import STATE_STORE_CONF, conf_scope, work_dir, written
 from parcelflow.sources.readers import RAW, read_folder
-from parcelflow.sources.schemas import FACTS
 from parcelflow.sources.sinks import append_mart, read_dimension, read_mart, stream_to_folder
 from parcelflow.streaming import jobs
-from parcelflow.streaming.operators import order_fact_stream, running_snapshots_stream
+from parcelflow.streaming.operators import running_snapshots_stream
 
 #: The whole input in one micro-batch: nothing can be late, so the outcome equals the batch form.
 EVERYTHING = {"maxFilesPerTrigger": "1000000"}
@@ -43,15 +42,21 @@ def streamed_feed(spark: SparkSession, folder: str, feed: DataFrame) -> DataFram
     return read_folder(spark, f"{folder}/feed", RAW, **EVERYTHING)
 
 
+def in_steps(spark: SparkSession, folder: str, rows: DataFrame, step: Column) -> DataFrame:
+    """Rows as a stream of micro-batches, one for each value of ``step`` from 0 to ``STEPS`` - 1."""
+    files = spark.sparkContext.defaultParallelism
+    rows.withColumn("_step", step).repartition(files).write.partitionBy("_step").parquet(f"{folder}/steps")
+    for k in range(STEPS):
+        part = spark.read.schema(rows.schema).option("recursiveFileLookup", "true")
+        part.parquet(f"{folder}/steps/_step={k}").repartition(files).write.mode("append").parquet(f"{folder}/feed")
+    return read_folder(spark, f"{folder}/feed", rows.schema, maxFilesPerTrigger=str(files))
+
+
 def feed_in_steps(spark: SparkSession, folder: str, feed: DataFrame) -> DataFrame:
-    """All rows of a feed, in order of arrival, as one file and micro-batch per step."""
-    feed.write.parquet(f"{folder}/whole")
-    whole = spark.read.schema(RAW).parquet(f"{folder}/whole")
+    """All rows of a feed, in order of arrival, as one micro-batch per step."""
+    whole = written(feed, "feed")
     first, last = whole.agg(F.min("seq"), F.max("seq")).first()
-    step = F.least(F.floor((F.col("seq") - first) * STEPS / F.lit(max(last - first, 1))), F.lit(STEPS - 1))
-    for k in range(STEPS):
-        whole.where(step == k).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
-    return read_folder(spark, f"{folder}/feed", RAW, maxFilesPerTrigger="1")
+    return in_steps(spark, folder, whole, F.least(F.floor((F.col("seq") - first) * STEPS / F.lit(max(last - first, 1))), F.lit(STEPS - 1)))
 
 
 def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,19 +68,18 @@ def stream_order_cargo(spark, sf_dir):
     folder = work_dir(spark, "stream-order-cargo")
     raw = streamed_feed(spark, folder, feeds.order_feed(table(spark, sf_dir, "events")))
     changes = facts.decode_order_changes(raw)
-    paired = order_fact_stream(changes, wait_ms=feeds.FEED_WAIT_MS)
-    run_to_end(spark, stream_to_folder(paired, f"{folder}/facts", f"{folder}/checkpoint"))
-    return _lifecycle_columns(spark.read.schema(paired.schema).parquet(f"{folder}/facts"))
+    run_to_end(spark, jobs.order_fact_job(changes, f"{folder}/facts", f"{folder}/checkpoint", wait_ms=feeds.FEED_WAIT_MS))
+    return _lifecycle_columns(spark.read.parquet(f"{folder}/facts"))
 
 
 @query
 def stream_order_cargo_steps(spark, sf_dir):
-    """The pairing with its state carried over many micro-batches."""
+    """The pairing with what it holds carried over many micro-batches, every key of a batch cut into slices."""
     folder = work_dir(spark, "stream-order-steps")
     raw = feed_in_steps(spark, folder, feeds.order_feed(table(spark, sf_dir, "events")))
-    paired = order_fact_stream(facts.decode_order_changes(raw), wait_ms=feeds.FEED_WAIT_MS)
-    run_to_end(spark, stream_to_folder(paired, f"{folder}/facts", f"{folder}/checkpoint"))
-    return _lifecycle_columns(spark.read.schema(paired.schema).parquet(f"{folder}/facts"))
+    job = jobs.order_fact_job(facts.decode_order_changes(raw), f"{folder}/facts", f"{folder}/checkpoint", feeds.FEED_WAIT_MS, hot_rows=20, buckets=8)
+    run_to_end(spark, job)
+    return _lifecycle_columns(spark.read.parquet(f"{folder}/facts"))
 
 
 @query
@@ -113,17 +117,18 @@ def stream_mart_update_final(spark, sf_dir):
 
 @query
 def stream_mart_keyed_final(spark, sf_dir):
-    """Orders through both hops of a mart whose key is looked up."""
+    """Orders through both hops of a mart whose key is looked up, in several batches each."""
     folder, mart = work_dir(spark, "stream-keyed-mart"), ALL_MARTS["dws_trade_org_order_day_base"]
     needed = [*mart.grain.values(), "amount", "ts"]
-    feeds.placed_orders(spark, sf_dir).select(*needed).write.parquet(f"{folder}/orders")
-    layout = [f for f in FACTS[mart.fact].fields if f.name in needed]
-    orders = read_folder(spark, f"{folder}/orders", type(FACTS[mart.fact])(layout), **EVERYTHING)
+    placed = written(feeds.placed_orders(spark, sf_dir).select(*needed), "orders")
+    first, last = placed.agg(F.min("ts"), F.max("ts")).first()
+    step = F.least(F.floor((F.col("ts") - first) * STEPS / F.lit(max(last - first, 1))), F.lit(STEPS - 1))
+    orders = in_steps(spark, folder, placed, step)
     dims = feeds.Dimensions(spark, sf_dir)
     first = jobs.mart_key_job(orders, mart, lambda: dims, f"{folder}/keyed", f"{folder}/checkpoint-key")
     run_to_end(spark, first)
     layout = spark.read.parquet(f"{folder}/keyed").drop("batch_id").schema
-    keyed = read_folder(spark, f"{folder}/keyed", layout, recursiveFileLookup="true", **EVERYTHING)
+    keyed = read_folder(spark, f"{folder}/keyed", layout, recursiveFileLookup="true", maxFilesPerTrigger="1")
     sink = append_mart(f"{folder}/mart", by_day=False)
     job = jobs.mart_job(keyed, mart, lambda: dims, sink, f"{folder}/checkpoint-mart")
     run_to_end(spark, job)

@@ -2,9 +2,11 @@
 
 A plain window over a key puts the whole key into one task.  So the rows per key are
 counted first (one long per key and task travels).  If no key exceeds ``hot_rows``, the
-plain window is used.  Otherwise the hot keys are cut into time slices: windows run
-inside a slice, and what a slice inherits is the last value of the slices before it,
-taken from one summary row per slice.
+plain window is used.  Otherwise the rows of hot keys are dealt into ranges of (key, order)
+and numbered there, and every ``hot_rows`` of them make a slice: windows run inside a slice,
+and what a slice inherits is the last value of the key's slices before it, taken from one
+summary row per slice.  Slices follow the rows, not the clock, so a burst is cut as finely
+as any other stretch, ties included.
 """
 
 from __future__ import annotations
@@ -17,38 +19,38 @@ from parcelflow.session import written
 SLICE = "_slice"
 HOT_ROWS = 1_000_000
 
-#: Slices per ``hot_rows`` rows, so that uneven arrival still leaves moderate slices.
-SPREAD = 4
 
-
-def slice_hot_keys(df: DataFrame, key: str, position: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def slice_hot_keys(df: DataFrame, key: str, order: str | list[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Number the slices of hot keys 1, 2, ... along their history; other keys have slice 0.
 
     Without a hot key (or with ``hot_rows=None``, for keys known to be short) ``df`` comes
-    back as it is.  ``position`` is a non-null integer the history is primarily ordered by.
-    At most ``rows / hot_rows`` keys can be hot, which bounds what is broadcast.  The sliced
-    rows are written out once, as several branches read them.
+    back as it is.  No slice has more than ``hot_rows`` rows.  A null key is a key like any
+    other.  At most ``rows / hot_rows`` keys can be hot, which bounds
+    what is broadcast.  The sliced rows are written out once, as several branches read them.
     """
     if hot_rows is None:
         return df
-    stats = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(position).alias("_low"), F.max(position).alias("_high")
-    )
-    slices = F.ceil(F.col("_n") * SPREAD / hot_rows)
-    hot = stats.where(F.col("_n") > hot_rows).select(
-        key, "_low", F.ceil((F.col("_high") - F.col("_low") + 1) / slices).alias("_width")
-    )
-    if hot.isEmpty():
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    total = hot.agg(F.sum("_n")).first()[0]
+    if total is None:
         return df
-    number = F.floor((F.col(position) - F.col("_low")) / F.col("_width")) + 1
-    sliced = df.join(F.broadcast(hot), key, "left").withColumn(SLICE, F.coalesce(number.cast("bigint"), F.lit(0).cast("bigint")))
-    return written(sliced.drop("_low", "_width"), "sliced")
+    by = [order] if isinstance(order, str) else order
+    hot = F.broadcast(hot.select(F.col(key).alias("_hot")))
+    same = F.col(key).eqNullSafe(F.col("_hot"))
+    parts = min(-(-total // hot_rows), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = df.join(hot, same, "left_semi").repartitionByRange(parts, key, *by).sortWithinPartitions(key, *by)
+    # the number of the partition, and from bit 33 down that of the row in it
+    place = F.monotonically_increasing_id()
+    within = F.floor(place.bitwiseAND(F.lit((1 << 33) - 1)) / hot_rows)
+    sliced = dealt.withColumn(SLICE, F.shiftleft(F.shiftright(place, 33), 32) + within + 1)
+    others = df.join(hot, same, "left_anti").withColumn(SLICE, F.lit(0).cast("bigint"))
+    return written(sliced, "sliced").unionByName(others)
 
 
 def carry_last(history: DataFrame, key: str, order: list[str], value: Column, name: str) -> DataFrame:
     """Add ``name``: the last non-null ``value`` among strictly earlier rows of the key.
 
-    ``history`` comes from :func:`slice_hot_keys`, whose position is ``order[0]``.
+    ``history`` comes from :func:`slice_hot_keys` with the same order.
     """
     history = history.withColumn("_value", value)
     sliced = SLICE in history.columns
@@ -63,14 +65,15 @@ def carry_last(history: DataFrame, key: str, order: list[str], value: Column, na
         .agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.struct(*order))).alias("_tail"))
     )
     earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    inherited = tails.select(key, SLICE, F.last("_tail", ignorenulls=True).over(earlier).alias("_inherited"))
+    last = F.last("_tail", ignorenulls=True).over(earlier)
+    inherited = tails.select(F.col(key).alias("_key"), F.col(SLICE).alias("_at"), last.alias("_inherited"))
     return (
-        within.join(inherited, [key, SLICE], "left")
+        within.join(inherited, F.col(key).eqNullSafe(F.col("_key")) & (F.col(SLICE) == F.col("_at")), "left")
         .withColumn(name, F.coalesce(F.col(name), F.col("_inherited")))
-        .drop("_inherited")
+        .drop("_inherited", "_key", "_at")
     )
 
 
 def previous(df: DataFrame, key: str, order: list[str], value: Column, name: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """The last non-null ``value`` among earlier rows; ``lag`` if ``value`` is never null."""
-    return carry_last(slice_hot_keys(df, key, order[0], hot_rows), key, order, value, name).drop(SLICE)
+    return carry_last(slice_hot_keys(df, key, order, hot_rows), key, order, value, name).drop(SLICE)

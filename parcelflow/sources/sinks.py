@@ -1,7 +1,8 @@
 """Writing facts, dimensions and marts.
 
 Batch functions take the micro-batch and its id, so they serve as ``foreachBatch``
-bodies.  A replayed batch overwrites the folder of its own id; nothing is written twice.
+bodies.  What other jobs read as a stream is published once per batch, and a replayed batch
+leaves it as it is (``store``); marts, which are read as tables, replace the folder of the batch.
 """
 
 from __future__ import annotations
@@ -13,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
-from parcelflow.operators.latest import latest_by
-from parcelflow.plans.dimensions import dimension_table, newest_rows, sink_family
+from parcelflow.plans.dimensions import newest_rows, sink_family
 from parcelflow.sources.schemas import MARTS, to_wire_json, written_fields
+from parcelflow.sources.store import BucketStore, publish_batch
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -71,10 +72,10 @@ def _replace_batch(rows: DataFrame, batch_id: int, path: str, *columns: str) ->
 
 
 def fan_out_to_folders(path: str, column: str = "fact_type") -> BatchWriter:
-    """Mixed facts -> one folder per fact, all in a single write."""
+    """Mixed facts -> one folder per fact and batch, all published in a single move."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _replace_batch(batch, batch_id, path, column)
+        publish_batch(batch, batch_id, path, column)
 
     return write
 
@@ -139,43 +140,32 @@ def read_mart(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 # --- dimensions --------------------------------------------------------------------------------
 
-DIMENSION_LOG = (
-    "sink_table STRING, batch_id BIGINT, pk STRING, op STRING, ts BIGINT, seq BIGINT, row MAP<STRING, STRING>"
-)
+DIMENSION_ROW = "sink_table STRING, pk STRING, op STRING, ts BIGINT, seq BIGINT, batch_id BIGINT, row MAP<STRING, STRING>"
 
+#: Buckets of each dimension: a batch rewrites those that its keys lie in.
+DIMENSION_BUCKETS = 32
 
-def upsert_dimensions(path: str) -> BatchWriter:
-    """Routed dimension rows -> the newest row per key of the batch, appended by table.
 
-    Costs in proportion to the change, not to the dimension: current rows are found on
-    reading, and :func:`compact_dimensions` folds the history now and then.
-    """
+def dimension_store(spark: SparkSession, path: str, buckets: int = DIMENSION_BUCKETS) -> BucketStore:
+    """Current rows of all dimensions.  Deletes stay as rows, so that an older change that comes later does not bring its key back."""
+    return BucketStore(spark, path, DIMENSION_ROW, "sink_table", "pk", ["ts", "seq", "batch_id"], buckets)
+
+
+def upsert_dimensions(path: str, buckets: int = DIMENSION_BUCKETS) -> BatchWriter:
+    """Routed dimension rows -> the current row of each key, in the buckets that the batch touches."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = newest_rows(batch.select("sink_table", "pk", "op", "ts", "seq", "row"))
-        _replace_batch(rows, batch_id, path, "sink_table")
+        dimension_store(batch.sparkSession, path, buckets).upsert(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), batch_id)
 
     return write
 
 
-def _log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DIMENSION_LOG).parquet(path)
-
-
 def read_dimension(spark: SparkSession, path: str, sink_table: str, sink_pk: str, columns: list[str]) -> DataFrame:
-    """Current rows of one dimension, all columns texts."""
-    return dimension_table(_log(spark, path), sink_table, sink_pk, columns, ("ts", "seq", "batch_id"))
-
-
-def compact_dimensions(spark: SparkSession, path: str, target: str) -> None:
-    """Write the newest rows of every dimension to a fresh folder, as batch -1.
-
-    Deletes are newest rows too and stay, so that an older change that comes later does
-    not bring its key back.  Readers and the next upserts then move to ``target``; the old
-    folder stays valid.
-    """
-    rows = latest_by(_log(spark, path), ["sink_table", "pk"], ["ts", "seq", "batch_id"])
-    _replace_batch(rows.drop("batch_id"), -1, target, "sink_table")
+    """Current rows of one dimension, all columns texts; reads that dimension's buckets and nothing older."""
+    kept = dimension_store(spark, path).rows(sink_table).where(F.col("op") != "d")
+    others = [c for c in columns if c != sink_pk]
+    return kept.select(F.col("pk").alias(sink_pk), *[F.col("row")[c].alias(c) for c in others])
 
 
 def create_dimensions(spark: SparkSession, config: DataFrame, database: str | None = None) -> list[str]:

@@ -2,23 +2,29 @@
 
 Layers are separate queries joined by topics or folders, since an aggregation in
 ``update`` mode cannot feed another stateful operator.  Dimensions are handed over as
-a function and read anew for every micro-batch.
+a function and read anew for every micro-batch.  What a layer hands on is visible once:
+through the log of Spark's file sink, or as a batch that is published in one move.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from parcelflow.operators.changes import decode_changes, drop_unusable, encode_changes
-from parcelflow.operators.order_cargo import ORDER_WAIT_MS
+from parcelflow.operators.carry import HOT_ROWS
+from parcelflow.operators.order_cargo import ORDER_WAIT_MS, pair_batch, relevant_events
+from parcelflow.operators.transitions import ORDER_LIFECYCLE
 from parcelflow.plans import facts as fact_plans
 from parcelflow.plans.dimensions import route_dimensions
 from parcelflow.plans.marts import Dimensions, Mart, at_grain, finish
+from parcelflow.session import written
 from parcelflow.sources.sinks import BatchWriter, fan_out_to_folders, stream_to_folder, stream_to_topic, upsert_dimensions
-from parcelflow.streaming.operators import daily_totals_stream, order_fact_stream
+from parcelflow.sources.store import BucketStore, publish_batch
+from parcelflow.streaming.operators import daily_totals_stream
 
 DimensionReader = Callable[[], Dimensions]
 
@@ -52,14 +58,46 @@ def dimension_job(
     return each_batch(changes, write, checkpoint)
 
 
-def order_fact_job(changes: DataFrame, path: str, checkpoint: str, wait_ms: int = ORDER_WAIT_MS) -> DataStreamWriter:
-    """Order and cargo changes -> eight fact folders."""
-    return each_batch(order_fact_stream(changes, wait_ms=wait_ms), fan_out_to_folders(path), checkpoint)
+#: Buckets of what the pairing holds from batch to batch.
+HELD_BUCKETS = 32
+
+
+def held_orders(spark: SparkSession, path: str, events: DataFrame, buckets: int = HELD_BUCKETS) -> BucketStore:
+    """What the pairing below ``path`` holds: per order the latest cargo, and an order that waits for cargo."""
+    order, cargo = (events.schema[c].dataType.simpleString() for c in ("order", "cargo"))
+    schema = f"part STRING, key STRING, cargo {cargo}, waiting STRUCT<order: {order}, ts: BIGINT>"
+    return BucketStore(spark, f"{path}/_held", schema, "part", "key", ["key"], buckets)
+
+
+def order_fact_job(
+    changes: DataFrame, path: str, checkpoint: str, wait_ms: int = ORDER_WAIT_MS, hot_rows: int | None = HOT_ROWS, buckets: int = HELD_BUCKETS
+) -> DataStreamWriter:
+    """Order and cargo changes -> eight fact folders.
+
+    Each batch is paired in the batch form, over its events and what its keys' buckets hold
+    from before, so keys of any size are split as there.  The facts are published first and
+    what is held moves on after; a batch that is tried again finds either done or does it anew.
+    """
+    lifecycle = ORDER_LIFECYCLE
+    publish = fan_out_to_folders(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        events = written(relevant_events(fact_plans.order_events(batch), lifecycle).withColumn("part", F.lit("held")), "order-events")
+        store = held_orders(batch.sparkSession, path, events, buckets)
+        version = store.version()
+        places = store.touched(events, version)
+        if version.batch_id >= batch_id or not places:
+            return
+        paired, left = pair_batch(events.drop("part"), store.held_for(events, version).drop("part"), lifecycle, wait_ms, hot_rows)
+        publish(fact_plans.finish_order_facts(paired), batch_id)
+        store.replace(left.withColumn("part", F.lit("held")), places, batch_id)
+
+    return each_batch(changes, write, checkpoint)
 
 
 def bound_fact_job(changes: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Sorting-centre changes -> three fact folders."""
-    return each_batch(fact_plans.bound_facts(changes), fan_out_to_folders(path), checkpoint)
+    """Sorting-centre changes -> three fact folders, which other streams read through the sink's log."""
+    return stream_to_folder(fact_plans.bound_facts(changes), path, checkpoint, "fact_type")
 
 
 def trip_fact_job(changes: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
@@ -73,7 +111,7 @@ def mart_key_job(facts: DataFrame, mart: Mart, dims: DimensionReader, path: str,
         raise ValueError(f"{mart.table} has its key in the fact; start mart_job on the facts")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        mart.before(batch, dims()).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        publish_batch(mart.before(batch, dims()), batch_id, path)
 
     return each_batch(at_grain(facts, mart), write, checkpoint)
 

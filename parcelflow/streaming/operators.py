@@ -1,4 +1,4 @@
-"""Streaming forms of the pairing, the daily totals and their refreshes."""
+"""Streaming forms of the daily totals and their refreshes."""
 
 from __future__ import annotations
 
@@ -8,41 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DecimalType, DoubleType, FloatType, StructField, StructType
 
 from parcelflow.functions import times
-from parcelflow.operators.changes import computed_once
 from parcelflow.operators.daily import DAY, FIRST, REFRESH_MS, Measures, tick
-from parcelflow.operators.order_cargo import ORDER_WAIT_MS, relevant_events
-from parcelflow.operators.transitions import ORDER_LIFECYCLE, Lifecycle
-from parcelflow.plans.facts import finish_order_facts, order_events
-from parcelflow.sources.schemas import MONEY_SUM, ORDER_CARGO, ORDER_INFO
-from parcelflow.streaming.processors import PAIRED_SCHEMA, DayRefreshProcessor, OrderCargoProcessor, combine_ticks
-
-
-def order_fact_stream(
-    changes: DataFrame,
-    lifecycle: Lifecycle = ORDER_LIFECYCLE,
-    wait_ms: int = ORDER_WAIT_MS,
-) -> DataFrame:
-    """Streaming form of :func:`parcelflow.plans.facts.order_facts`.
-
-    Whether cargo came in time is decided on event time as in the batch form, never by the
-    clock.
-    """
-    events = relevant_events(order_events(changes), lifecycle)
-    is_order = F.col("order").isNotNull()
-    rows = events.select(
-        "key",
-        "ts",
-        "seq",
-        is_order.alias("is_order"),
-        "op",
-        F.col("_change").alias("change"),
-        F.when(is_order, F.to_json("order")).otherwise(F.to_json("cargo")).alias("image"),
-    )
-    processor = OrderCargoProcessor(lifecycle.created_fact, lifecycle.closing_facts, wait_ms)
-    paired = rows.groupBy("key").transformWithStateInPandas(processor, PAIRED_SCHEMA, "Append", "None")
-    images = F.struct(F.from_json("order", ORDER_INFO).alias("order"), F.from_json("cargo", ORDER_CARGO).alias("cargo"))
-    parsed = computed_once(paired.select("fact_type", F.col("order"), F.col("cargo")), "_images", images)
-    return finish_order_facts(parsed.select("fact_type", "_images.order", "_images.cargo"))
+from parcelflow.sources.schemas import MONEY_SUM
+from parcelflow.streaming.processors import DayRefreshProcessor, combine_ticks
 
 
 def with_event_time(facts: DataFrame, delay: str, ts: str = "ts") -> DataFrame:

@@ -1,7 +1,6 @@
-"""The two stateful operators no built-in streaming operator expresses.
+"""The stateful operator that no built-in streaming operator expresses.
 
-They work on plain texts and numbers per key; everything around them stays in
-DataFrame expressions.  This module imports nothing of the package, so it can travel
+It works on numbers per key; everything around it stays in DataFrame expressions.  This module imports nothing of the package, so it can travel
 to the workers by value.
 """
 
@@ -16,65 +15,6 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PAIRED_SCHEMA = "key STRING, fact_type STRING, order STRING, cargo STRING, ts BIGINT, seq BIGINT"
-
-
-class OrderCargoProcessor(StatefulProcessor):
-    """Pairs the events of one order: see ``operators.order_cargo`` for the rules.
-
-    Input rows: key, ts, seq, is_order, op, change (fact of a status change or null),
-    image (JSON).  State: the latest cargo, until the order is closed, and an order
-    waiting for cargo.  The wait is judged on event time only, however long a micro-batch
-    or an outage takes; a waiting order is forgotten when a closing change of its key
-    shows that the wait is over, or replaced by the next creation.
-    """
-
-    def __init__(self, created_fact: str, closing_facts: tuple[str, ...], wait_ms: int):
-        self.created_fact = created_fact
-        self.closing_facts = set(closing_facts)
-        self.wait_ms = wait_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cargo = handle.getValueState("cargo", "image STRING")
-        self.waiting = handle.getValueState("waiting", "image STRING, ts BIGINT")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # A key's events of one micro-batch, whose size the source's admission limit bounds.
-        events = pd.concat(list(rows)).sort_values(["ts", "seq"], kind="stable")
-        stored, stored_wait = self.cargo.get(), self.waiting.get()
-        cargo = stored[0] if stored is not None else None
-        waiting = (stored_wait[0], stored_wait[1]) if stored_wait is not None else None
-        before = (cargo, waiting)
-        out = []
-        for e in events.itertuples(index=False):
-            if e.is_order:
-                change = None if pd.isna(e.change) else e.change
-                if e.op == "c":
-                    if cargo is None:
-                        waiting = (e.image, int(e.ts))
-                    else:
-                        out.append((key[0], self.created_fact, e.image, cargo, e.ts, e.seq))
-                elif e.op == "u" and change is not None:
-                    if cargo is not None:
-                        out.append((key[0], change, e.image, cargo, e.ts, e.seq))
-                    if change in self.closing_facts:
-                        cargo = None
-                        if waiting is not None and e.ts - waiting[1] >= self.wait_ms:
-                            waiting = None
-            elif e.op == "c":
-                cargo = e.image
-                if waiting is not None and e.ts - waiting[1] < self.wait_ms:
-                    out.append((key[0], self.created_fact, waiting[0], cargo, e.ts, e.seq))
-        if cargo != before[0]:
-            self.cargo.clear() if cargo is None else self.cargo.update((cargo,))
-        if waiting != before[1]:
-            self.waiting.clear() if waiting is None else self.waiting.update(waiting)
-        if out:
-            yield pd.DataFrame(out, columns=["key", "fact_type", "order", "cargo", "ts", "seq"])
-
-    def close(self) -> None:
-        pass
-
 
 class DayRefreshProcessor(StatefulProcessor):
     """Publishes the running total of one key and day at every refresh of event time.

@@ -38,6 +38,19 @@ def test_slices_split_only_hot_keys(spark):
     assert all(key == "hot" and number > 0 for key, number in sizes) and max(sizes.values()) <= 10
 
 
+def test_a_burst_is_cut_like_any_other_stretch(spark):
+    rows = [(key, 1000 if i < 300 else i, i % 100, f"v{i}" if i % 7 == 0 else None) for key in ("hot", None) for i in range(400)]
+    df = spark.createDataFrame(rows, "key STRING, ts BIGINT, seq BIGINT, value STRING").repartition(3)
+    sliced = carry.slice_hot_keys(df, "key", ["ts", "seq"], 16)
+    assert max(r["count"] for r in sliced.groupBy("key", carry.SLICE).count().collect()) <= 16 and sliced.count() == 800
+    unique = df.groupBy("key", "ts", "seq").agg(F.max("value").alias("value"))
+    got = {(r.key, r.ts, r.seq): r.carried for r in carry.previous(unique, "key", ["ts", "seq"], F.col("value"), "carried", 16).collect()}
+    last = {}
+    for r in sorted(unique.collect(), key=lambda r: (r.ts, r.seq)):
+        assert got[r.key, r.ts, r.seq] == last.get(r.key)
+        last[r.key] = r.value or last.get(r.key)
+
+
 def test_no_hot_key_leaves_the_plan_alone(spark):
     df = spark.createDataFrame([("a", 1)], "key STRING, ts BIGINT")
     assert carry.slice_hot_keys(df, "key", "ts", 10) is df

@@ -10,7 +10,7 @@ from parcelflow.plans import dimensions, facts
 from parcelflow.session import work_dir
 from parcelflow.sources.readers import RAW, read_folder
 from parcelflow.sources.sinks import stream_to_folder
-from parcelflow.streaming.operators import order_fact_stream
+from parcelflow.streaming import jobs
 from tests.conftest import cargo, change, order
 
 ORDERED, PAID, RECEIVED = "dwd_trade_order_detail", "dwd_trade_pay_suc_detail", "dwd_trans_receive_detail"
@@ -74,7 +74,8 @@ def test_order_cargo_batch(spark, hot_rows):
     assert outcome(facts.order_facts(changes, hot_rows=hot_rows)) == expected
 
 
-def test_order_cargo_stream(spark):
+@pytest.mark.parametrize("hot_rows", [None, 2])
+def test_order_cargo_stream(spark, hot_rows):
     """In several runs from one checkpoint, so that state is carried from batch to batch."""
     sequences, expected = all_cases()
     folder = work_dir(spark, "replay")
@@ -84,9 +85,8 @@ def test_order_cargo_stream(spark):
         spark.createDataFrame(rows, RAW).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
         if step in (0, 1, 2, longest - 1):
             raw = read_folder(spark, f"{folder}/feed", RAW, **EVERYTHING)
-            out = order_fact_stream(facts.decode_order_changes(raw))
-            run_to_end(spark, stream_to_folder(out, f"{folder}/out", f"{folder}/checkpoint"))
-    assert outcome(spark.read.schema(out.schema).parquet(f"{folder}/out")) == expected
+            run_to_end(spark, jobs.order_fact_job(facts.decode_order_changes(raw), f"{folder}/out", f"{folder}/checkpoint", hot_rows=hot_rows))
+    assert outcome(spark.read.parquet(f"{folder}/out")) == expected
 
 
 def test_order_fact_columns(feed):

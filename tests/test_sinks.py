@@ -8,6 +8,7 @@ from parcelflow.session import work_dir
 from parcelflow.sources import sinks
 from parcelflow.sources.readers import facts_from_topic
 from parcelflow.sources.schemas import DIMENSION_TABLES, FACT_TABLES, FACTS, MARTS, camel, written_fields
+from parcelflow.sources.store import BucketStore, Files, publish_batch
 
 ROUTED = "sink_table STRING, pk STRING, op STRING, ts BIGINT, seq BIGINT, row MAP<STRING, STRING>"
 
@@ -20,23 +21,77 @@ def current(spark, path):
     return {r.id: r.name for r in sinks.read_dimension(spark, path, "dim_x", "id", ["id", "name"]).collect()}
 
 
-def test_upserts_are_idempotent_and_compact(spark):
-    path, folded = (f"{work_dir(spark, 'dims')}/{n}" for n in ("log", "folded"))
-    upsert = sinks.upsert_dimensions(path)
+def test_upserts_keep_current_rows(spark):
+    path = f"{work_dir(spark, 'dims')}/store"
+    upsert = sinks.upsert_dimensions(path, buckets=4)
     upsert(routed(spark, ("1", "c", 1, "a"), ("1", "u", 2, "b"), ("2", "c", 1, "x")), 0)
     second = routed(spark, ("1", "u", 3, "c"), ("3", "c", 1, None))
     upsert(second, 1)
     upsert(second, 1)  # replayed after a failure
-    assert spark.read.parquet(path).count() == 4
+    store = sinks.dimension_store(spark, path)
+    assert store.version().number == 1 and store.rows().count() == 3
     assert current(spark, path) == {"1": "c", "2": "x", "3": None}
-    sinks.compact_dimensions(spark, path, folded)
-    assert spark.read.parquet(folded).count() == 3
-    sinks.upsert_dimensions(folded)(routed(spark, ("2", "d", 9, None), ("1", "u", 9, "z")), 2)
-    assert current(spark, folded) == {"1": "z", "3": None}
-    again = f"{work_dir(spark, 'dims')}/again"
-    sinks.compact_dimensions(spark, folded, again)
-    sinks.upsert_dimensions(again)(routed(spark, ("2", "u", 5, "late")), 3)  # older than the delete
-    assert current(spark, again) == {"1": "z", "3": None}
+    upsert(routed(spark, ("2", "d", 9, None), ("1", "u", 9, "z")), 2)
+    assert current(spark, path) == {"1": "z", "3": None}
+    store.rebucket(7)
+    upsert(routed(spark, ("2", "u", 5, "late"), ("1", "u", 2, "late")), 3)  # older than the delete
+    assert current(spark, path) == {"1": "z", "3": None} and store.rows().count() == 3
+
+
+def test_reads_follow_the_dimension_not_its_history(spark):
+    path = f"{work_dir(spark, 'dims')}/store"
+    upsert, store = sinks.upsert_dimensions(path, buckets=8), sinks.dimension_store(spark, path)
+    upsert(routed(spark, *[(str(i), "c", 1, "first") for i in range(100)]), 0)
+    sizes = set()
+    for batch in range(1, 6):
+        upsert(routed(spark, ("7", "u", 1 + batch, f"v{batch}")), batch)
+        sizes.add(len(store.rows("dim_x").inputFiles()))
+        changed = [p for p, v in store.version().folders.items() if v == batch]
+        assert len(changed) == 1  # the bucket of the key alone is written anew
+    assert len(sizes) == 1 and store.rows("dim_x").count() == 100 and current(spark, path)["7"] == "v5"
+    old = store.version()
+    before = store.rows(version=old)
+    assert store.vacuum(keep=1) == 5
+    assert store.rows().count() == 100 and before.count() == 100
+    assert store.rows("dim_y").count() == 0
+
+
+def test_a_broken_upsert_leaves_the_version_in_force(spark, monkeypatch):
+    path = f"{work_dir(spark, 'dims')}/store"
+    upsert, store = sinks.upsert_dimensions(path, buckets=2), sinks.dimension_store(spark, path)
+    upsert(routed(spark, ("1", "c", 1, "a"), ("2", "c", 1, "b")), 0)
+
+    def broken(self, version):
+        raise RuntimeError("stopped before the pointer moved")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(BucketStore, "_commit", broken)
+        try:
+            upsert(routed(spark, ("1", "u", 2, "c"), ("3", "c", 1, "d")), 1)
+        except RuntimeError:
+            pass
+    assert current(spark, path) == {"1": "a", "2": "b"}
+    upsert(routed(spark, ("1", "u", 2, "c"), ("3", "c", 1, "d")), 1)
+    assert current(spark, path) == {"1": "c", "2": "b", "3": "d"} and store.version().batch_id == 1
+
+
+def test_store_keeps_odd_names_apart(spark):
+    path = f"{work_dir(spark, 'dims')}/store"
+    rows = [(t, "k", "c", 1, 0, 0, {"name": t or "none"}) for t in ("a/b", "a=b", "a b", "ü", "%41", None)]
+    store = sinks.dimension_store(spark, path, 3)
+    store.upsert(spark.createDataFrame(rows, sinks.DIMENSION_ROW), 0)
+    store.upsert(spark.createDataFrame([("a=b", "k", "u", 2, 0, 1, {"name": "new"})], sinks.DIMENSION_ROW), 1)
+    assert {r.sink_table: r.row["name"] for r in store.rows().collect()} == {"a/b": "a/b", "a=b": "new", "a b": "a b", "ü": "ü", "%41": "%41", None: "none"}
+    assert [r.row["name"] for r in store.rows("a=b").collect()] == ["new"]
+
+
+def test_published_batches_stay_as_they_are(spark):
+    path = f"{work_dir(spark, 'published')}/rows"
+    assert publish_batch(spark.range(5).toDF("id"), 0, path)
+    first = spark.read.parquet(path).inputFiles()
+    assert not publish_batch(spark.range(9).toDF("id"), 0, path)
+    assert spark.read.parquet(path).inputFiles() == first and spark.read.parquet(path).count() == 5
+    assert Files(spark, path).names(f"{path}/_staging") == []
 
 
 def test_create_dimensions(spark):

@@ -159,6 +159,109 @@ def test_mart_stream_equals_batch(spark, dims, name):
     assert stored.count() > 0
 
 
+class Stopped(Exception):
+    pass
+
+
+def stopped_once(monkeypatch, target, name, after):
+    """Make the function fail once, at its call number ``after``, when its work is done."""
+    real, calls = getattr(target, name), []
+
+    def run(*args, **kwargs):
+        result = real(*args, **kwargs)
+        calls.append(1)
+        if len(calls) == after:
+            raise Stopped("between write and commit")
+        return result
+
+    monkeypatch.setattr(target, name, run)
+
+
+def run_through_a_stop(spark, make):
+    """Run the job until it fails, run ``make()`` anew from its checkpoint to the end."""
+    with pytest.raises(Exception, match="between write and commit"):
+        run_to_end(spark, make())
+    run_to_end(spark, make())
+
+
+def test_a_stop_between_write_and_commit_changes_no_total(spark, dims, monkeypatch):
+    """First hop stopped after its second batch was published; the second hop has read that batch by then."""
+    mart = ALL_MARTS["dws_trade_org_order_day_base"]
+    rows = [("82001", 1.25, d, "c", "p", d, "c", "p", o, o, "org", "t", 2.5, 60, 1000 * i) for i, (d, o) in enumerate([("d1", "1"), ("d3", "3"), ("zz", "9"), ("d1", "1"), ("d1", "2"), ("d3", "3")])]
+    folder = work_dir(spark, "stopped")
+    for k in range(3):
+        spark.createDataFrame(exact(rows[2 * k : 2 * k + 2]), FACT_ROWS).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    first = lambda: jobs.mart_key_job(read_folder(spark, f"{folder}/in", FACT_ROWS, maxFilesPerTrigger="1"), mart, lambda: dims, f"{folder}/keyed", f"{folder}/c1")
+
+    def second():
+        layout = spark.read.parquet(f"{folder}/keyed").drop("batch_id").schema
+        keyed = read_folder(spark, f"{folder}/keyed", layout, recursiveFileLookup="true", maxFilesPerTrigger="1")
+        run_to_end(spark, jobs.mart_job(keyed, mart, lambda: dims, append_mart(f"{folder}/mart"), f"{folder}/c2"))
+
+    stopped_once(monkeypatch, jobs, "publish_batch", 2)
+    with pytest.raises(Exception, match="between write and commit"):
+        run_to_end(spark, first())
+    second()
+    run_to_end(spark, first())
+    second()
+    got = latest_published(read_mart(spark, f"{folder}/mart", mart.table), list(mart.keys)).drop("ts")
+    want = daily_mart(spark.createDataFrame(exact(rows), FACT_ROWS), mart, dims).drop("ts")
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("where", ["published", "held"])
+def test_a_stopped_pairing_goes_on_where_it_was(spark, monkeypatch, where):
+    import json
+
+    from parcelflow.plans import facts
+    from parcelflow.sources.store import BucketStore
+
+    folder = work_dir(spark, "stopped-pairs")
+    steps = [
+        [cargo("c", 1), change("order_info", "c", 1, {"id": "2", "status": "60010"})],
+        [change("order_info", "c", 2, {"id": "1", "status": "60010"}), cargo("c", 3, "g2", "2")],
+        [change("order_info", "u", 4, {"id": "1", "status": "60020"}, {"id": "1", "status": "60010"})],
+    ]
+    for step in steps:
+        spark.createDataFrame([(json.dumps(r), i) for i, r in enumerate(step)], RAW).coalesce(1).write.mode("append").parquet(f"{folder}/raw")
+
+    def make():
+        raw = read_folder(spark, f"{folder}/raw", RAW, maxFilesPerTrigger="1")
+        return jobs.order_fact_job(facts.decode_order_changes(raw), f"{folder}/facts", f"{folder}/c", buckets=2)
+
+    if where == "published":
+        import parcelflow.sources.sinks as sinks
+
+        stopped_once(monkeypatch, sinks, "publish_batch", 2)
+    else:
+        stopped_once(monkeypatch, BucketStore, "replace", 2)
+    run_through_a_stop(spark, make)
+    got = sorted((r.fact_type, r.order_id, r.id) for r in spark.read.parquet(f"{folder}/facts").collect())
+    assert got == [("dwd_trade_order_detail", "1", "g1"), ("dwd_trade_order_detail", "2", "g2"), ("dwd_trade_pay_suc_detail", "1", "g1")]
+
+
+def test_a_stopped_dimension_job_merges_a_batch_once(spark, monkeypatch):
+    import json
+
+    from parcelflow.operators.changes import decode_changes
+    from parcelflow.sources.sinks import dimension_store, read_dimension
+    from parcelflow.sources.store import BucketStore
+
+    folder = work_dir(spark, "stopped-dims")
+    for step in ([("c", 1, "a")], [("u", 5, "b")], [("u", 3, "late")]):
+        rows = [(json.dumps(change("base_dic", op, ts, {"id": "7", "name": name})), ts) for op, ts, name in step]
+        spark.createDataFrame(rows, RAW).coalesce(1).write.mode("append").parquet(f"{folder}/raw")
+    config = spark.createDataFrame(
+        [("base_dic", "dim_base_dic", None, "id,name", "id", None)],
+        "source_table STRING, sink_table STRING, sink_family STRING, sink_columns STRING, sink_pk STRING, foreign_keys STRING",
+    )
+    make = lambda: jobs.dimension_job(decode_changes(read_folder(spark, f"{folder}/raw", RAW, maxFilesPerTrigger="1")), lambda: config, f"{folder}/dims", f"{folder}/c")
+    stopped_once(monkeypatch, BucketStore, "upsert", 2)
+    run_through_a_stop(spark, make)
+    assert dimension_store(spark, f"{folder}/dims").version().number == 2
+    assert [tuple(r) for r in read_dimension(spark, f"{folder}/dims", "dim_base_dic", "id", ["id", "name"]).collect()] == [("7", "b")]
+
+
 def test_capture_to_facts_to_dimension(spark):
     """The jobs one after the other, over folders."""
     import json
