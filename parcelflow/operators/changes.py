@@ -54,10 +54,11 @@ def is_usable() -> Column:
     return F.col("after").isNotNull() & (F.col("op") != "d")
 
 
-def drop_unusable(changes: DataFrame, metrics: Observation | None = None) -> DataFrame:
+def drop_unusable(changes: DataFrame, metrics: Observation | str | None = None) -> DataFrame:
     """Drop deletes, rows without an ``after`` image and malformed text.
 
-    ``metrics`` collects ``rows`` and ``malformed`` on the way, without another pass.
+    ``metrics``, an observation or the name of one, collects ``rows`` and ``malformed`` on
+    the way, without another pass.
     """
     if metrics is not None:
         changes = changes.observe(
@@ -66,6 +67,24 @@ def drop_unusable(changes: DataFrame, metrics: Observation | None = None) -> Dat
     return changes.where(is_usable())
 
 
+#: Where captured text that is no change is kept, as if it were a table.
+DEAD_LETTERS = "__malformed"
+
+
+def set_malformed_aside(raw: DataFrame, metrics: str, value: str = "value") -> DataFrame:
+    """Usable changes, and malformed texts as rows of the table ``DEAD_LETTERS`` with the text in ``after``.
+
+    A missing text (a tombstone) is no malformed one.  ``metrics`` names an observation of
+    ``rows`` and ``malformed``.
+    """
+    changes = decode_changes(raw.withColumn("_raw", F.col(value)))
+    bad = F.col("_raw").isNotNull() & F.col("op").isNull()
+    changes = changes.observe(metrics, F.count(F.lit(1)).alias("rows"), F.count(F.when(bad, 1)).alias("malformed"))
+    kept = changes.where(bad | is_usable())
+    aside = {"table": F.when(bad, F.lit(DEAD_LETTERS)).otherwise(F.col("table")), "after": F.when(bad, F.col("_raw")).otherwise(F.col("after"))}
+    return kept.withColumns(aside).drop("_raw")
+
+
 def encode_changes(changes: DataFrame) -> DataFrame:
     """Decoded change (images as text) -> ``key``, the row's id, and ``value``, the envelope text.
 
@@ -106,20 +125,19 @@ def order_within_key(changes: DataFrame, key: Column, partitions: int | None = N
     return keyed.repartitionByRange(*parts).sortWithinPartitions("_key", "ts").drop("_key")
 
 
-#: A routing config has one row per source table; up to this many rows every task gets a copy.
-MAX_ROUTES_SENT = 10_000
-
-
 def route(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Attach the routing row of each change; unrouted changes are dropped.
 
-    The config is counted first.  Its sources (a database, a feed's current state) tell
-    the optimizer nothing about its size, and a shuffle by table name would put most
-    changes into a few tasks.  A config beyond the limit is joined as Spark sees fit.
+    The config becomes one map, a scalar subquery that every task looks tables up in.  So no
+    change is shuffled, least of all by table name, of which a few have most of the rows; and
+    the plan is the same, with no job to count anything, whatever the config.  A config has a
+    row per source table, which bounds the map.  Of several rows of a table each routes it.
     """
-    routes = config.withColumnRenamed("source_table", "table")
-    few = routes.limit(MAX_ROUTES_SENT + 1).count() <= MAX_ROUTES_SENT
-    return changes.join(F.broadcast(routes) if few else routes, "table")
+    columns = [c for c in config.columns if c != "source_table"]
+    own = config.where(F.col("source_table").isNotNull()).groupBy("source_table").agg(F.collect_list(F.struct(*columns)).alias("rows"))
+    routes = own.agg(F.map_from_entries(F.collect_list(F.struct("source_table", "rows")))).scalar()
+    found = changes.select("*", F.explode(F.try_element_at(routes, F.col("table"))).alias("_route"))
+    return found.select(*changes.columns, *[F.col(f"_route.{c}").alias(c) for c in columns])
 
 
 def split_list(c: Column | str) -> Column:

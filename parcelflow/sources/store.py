@@ -72,18 +72,20 @@ class Files:
             stream.close()
 
 
-def publish_batch(rows: DataFrame, batch_id: int, path: str, *columns: str) -> bool:
+def publish_batch(rows: DataFrame, batch_id: int, path: str, *columns: str, as_laid: bool = False) -> bool:
     """Make a batch visible below ``path`` as ``batch_id=.../<columns>``, all of it at once.
 
     Returns False, and leaves the table alone, if the batch has been published before.  The
     rebalance gives each folder few files of moderate size: small ones are merged, and a folder
-    with most of the rows is split over several tasks.
+    with most of the rows is split over several tasks.  ``as_laid`` leaves the rows where
+    and in which order they are; they have to be sorted by ``columns`` first.
     """
     files = Files(rows.sparkSession, path)
     target, staged = f"{path}/{BATCH}={batch_id}", f"{path}/{STAGING}/{batch_id}-{os.urandom(6).hex()}"
     if files.exists(target):
         return False
-    kept = rows.drop(BATCH).hint("rebalance", *[F.col(c) for c in columns])
+    kept = rows.drop(BATCH)
+    kept = kept if as_laid else kept.hint("rebalance", *[F.col(c) for c in columns])
     kept.write.partitionBy(*columns).parquet(staged)
     if files.move(staged, target):
         return True

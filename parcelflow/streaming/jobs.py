@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from parcelflow.operators.changes import decode_changes, drop_unusable, encode_changes
+from parcelflow.operators.changes import decode_changes, drop_unusable, encode_changes, set_malformed_aside
 from parcelflow.operators.carry import HOT_ROWS
 from parcelflow.operators.order_cargo import ORDER_WAIT_MS, pair_batch, relevant_events
 from parcelflow.operators.transitions import ORDER_LIFECYCLE
@@ -24,6 +24,7 @@ from parcelflow.plans.marts import Dimensions, Mart, at_grain, finish
 from parcelflow.session import written
 from parcelflow.sources.sinks import BatchWriter, fan_out_to_folders, stream_to_folder, stream_to_topic, upsert_dimensions
 from parcelflow.sources.store import BucketStore, publish_batch
+from parcelflow.streaming.metrics import CAPTURE
 from parcelflow.streaming.operators import daily_totals_stream
 
 DimensionReader = Callable[[], Dimensions]
@@ -33,13 +34,33 @@ REFRESH = "10 seconds"
 
 
 def capture_job(raw: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Raw envelopes -> cleaned changes, stored by table so that readers prune to theirs."""
-    return stream_to_folder(drop_unusable(decode_changes(raw)), path, checkpoint, "table")
+    """Raw envelopes -> cleaned changes, stored by table so that readers prune to theirs.
+
+    Malformed texts go to a table of their own (``DEAD_LETTERS``); ``metrics.StreamCounts``
+    counts them.
+    """
+    return stream_to_folder(set_malformed_aside(raw, CAPTURE), path, checkpoint, "table")
 
 
 def capture_topic_job(raw: DataFrame, servers: str, topic: str, checkpoint: str) -> DataStreamWriter:
-    """The same into one topic, keyed by row id."""
-    return stream_to_topic(encode_changes(drop_unusable(decode_changes(raw))), servers, topic, checkpoint)
+    """The same into one topic, keyed by row id; malformed texts are counted and dropped."""
+    return stream_to_topic(encode_changes(drop_unusable(decode_changes(raw), CAPTURE)), servers, topic, checkpoint)
+
+
+def ordered_capture_job(raw: DataFrame, path: str, checkpoint: str, key: str = "id") -> DataStreamWriter:
+    """Captured changes by table, the history of each row in order from file to file of a batch.
+
+    Batches follow one another, and within one the files of a table are ranges of (key, ts,
+    seq) in the order of their names.  A hot key may fill many of them.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        changes = drop_unusable(decode_changes(batch), None).withColumn("_key", F.get_json_object("after", f"$.{key}"))
+        by = ["table", "_key", "ts", "seq"]
+        laid = changes.repartitionByRange(*by).sortWithinPartitions(*by).drop("_key")
+        publish_batch(laid, batch_id, path, "table", as_laid=True)
+
+    return each_batch(raw, write, checkpoint)
 
 
 def each_batch(df: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "append") -> DataStreamWriter:

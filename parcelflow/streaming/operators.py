@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DecimalType, DoubleType, FloatType, StructField, StructType
 
 from parcelflow.functions import times
 from parcelflow.operators.daily import DAY, FIRST, REFRESH_MS, Measures, tick
 from parcelflow.sources.schemas import MONEY_SUM
+from parcelflow.streaming.metrics import observe_days
 from parcelflow.streaming.processors import DayRefreshProcessor, combine_ticks
 
 
@@ -32,11 +32,11 @@ def daily_totals_stream(
     """Running totals per day and key with built-in streaming aggregation.
 
     For ``update`` mode: each trigger gives the new totals of the groups that changed.
-    Rows of a day the watermark has passed are dropped.
+    Rows of a day the watermark has passed are dropped; ``metrics.StreamCounts`` counts them.
     """
     sums = [(F.count(F.lit(1)) if c is None else F.sum(c)).alias(name) for name, c in measures.items()]
     first = [F.min_by(F.struct(*carried), F.struct(FIRST, *carried)).alias("_first")] if carried else []
-    timed = with_event_time(facts.withColumn(FIRST, F.col("ts")), delay)
+    timed = with_event_time(observe_days(facts, "ts", offset_hours).withColumn(FIRST, F.col("ts")), delay)
     totals = timed.groupBy(times.day_window("event_time", offset_hours).alias("_window"), *keys).agg(*sums, *first)
     day = F.datediff(times.window_date(F.col("_window"), offset_hours), F.lit("1970-01-01").cast("date"))
     return totals.select(day.alias(DAY), *keys, *[F.col(f"_first.{c}").alias(c) for c in carried], *measures)
@@ -98,12 +98,3 @@ def running_snapshots_stream(
     processor = DayRefreshProcessor(columns, kinds, refresh_ms, offset_hours * times.HOUR_MS)
     published = combined.groupBy(*columns).transformWithStateInPandas(processor, layout, "Append", "EventTime")
     return published.select(DAY, *keys, "tick_ms", *[_from_state(facts, n, s) for n, s in measures.items()])
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped so far because their window was over."""
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )

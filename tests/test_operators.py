@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.operators import carry, scan, changes as change_operators
+from parcelflow.operators import carry, scan
 from parcelflow.operators.changes import order_within_key, route
 from parcelflow.operators.daily import daily_totals, running_snapshots
 from parcelflow.operators.latest import first_by, latest_by
@@ -118,14 +118,16 @@ def test_order_within_key_keeps_histories_in_order(spark, tmp_path):
     assert len({r.p for r in partitions if r.id == "hot"}) > 1
 
 
-def test_large_config_is_not_broadcast(spark, monkeypatch):
-    rows = spark.createDataFrame([("a", 1), ("b", 2), ("x", 3)], "table STRING, n BIGINT")
-    config = spark.createDataFrame([("a", "dim_a"), ("b", "dim_b")], "source_table STRING, sink_table STRING")
-    for limit, hinted in ((10, True), (1, False)):
-        monkeypatch.setattr(change_operators, "MAX_ROUTES_SENT", limit)
-        routed = route(rows, config)
-        assert ("ResolvedHint" in routed._jdf.queryExecution().analyzed().toString()) == hinted
-        assert sorted((r.sink_table, r.n) for r in routed.collect()) == [("dim_a", 1), ("dim_b", 2)]
+@pytest.mark.parametrize("tables", [0, 2, 20_000])
+def test_routing_has_one_plan_and_no_shuffle_of_changes(spark, tables):
+    rows = spark.createDataFrame([("a", 1), ("t1", 2), ("x", 3), (None, 4), ("a", 5)], "table STRING, n BIGINT")
+    more = spark.range(tables).select(F.concat(F.lit("t"), "id").alias("source_table"), F.concat(F.lit("dim_"), "id").alias("sink_table"))
+    config = spark.createDataFrame([("a", "dim_a"), (None, "none")], "source_table STRING, sink_table STRING").unionByName(more)
+    routed = route(rows, config)
+    plan = routed._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    assert "Exchange" not in plan and "Join" not in plan
+    expected = [("dim_a", 1), ("dim_a", 5)] + ([("dim_1", 2)] if tables else [])
+    assert sorted((r.sink_table, r.n) for r in routed.collect()) == sorted(expected)
 
 
 def test_one_change_may_give_several_facts(spark):

@@ -1,5 +1,6 @@
 """Streams in several runs from one checkpoint, against their batch forms."""
 
+import random
 from decimal import Decimal
 
 import pytest
@@ -12,7 +13,8 @@ from parcelflow.session import STATE_STORE_CONF, conf_scope, work_dir
 from parcelflow.sources.readers import RAW, read_folder
 from parcelflow.sources.sinks import append_mart, read_mart, stream_to_folder
 from parcelflow.streaming import jobs
-from parcelflow.streaming.operators import daily_totals_stream, late_rows, running_snapshots_stream
+from parcelflow.streaming.metrics import count_streams
+from parcelflow.streaming.operators import daily_totals_stream, running_snapshots_stream
 from tests.conftest import cargo, change
 
 FACT = "org STRING, value DECIMAL(16,2), ts BIGINT"
@@ -84,9 +86,14 @@ def test_snapshot_stream_equals_batch_without_a_key(spark):
     assert got[-1][1] == DAY_END - 1
 
 
+def settled(spark):
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+
+
 def test_late_rows_of_a_closed_day_are_dropped_and_counted(spark):
+    """Seven late rows of one key count as seven, though they are summed to one before they are dropped."""
     folder = work_dir(spark, "late")
-    dropped = []
+    counts, seen = count_streams(spark), []
 
     def start(facts):
         totals = daily_totals_stream(facts, ["org"], {"n": None})
@@ -94,19 +101,91 @@ def test_late_rows_of_a_closed_day_are_dropped_and_counted(spark):
         def write(batch, batch_id):
             batch.write.mode("overwrite").parquet(f"{folder}/out/batch_id={batch_id}")
 
-        writer = jobs.each_batch(totals, write, f"{folder}/checkpoint", "update")
-        with conf_scope(spark, STATE_STORE_CONF):
-            query = writer.trigger(availableNow=True).start()
-            query.awaitTermination()
-        dropped.append(late_rows(query))
-
-    steps = [[("a", 1.0, 1_000)], [("a", 1.0, 2_000), ("a", 1.0, DAY_END + 60_000)], [("a", 1.0, 3_000), ("a", 1.0, DAY_END + 61_000)]]
-    feed_in_steps(spark, steps, FACT, folder, start)
-    assert dropped == [0, 0, 1]
+        run_to_end(spark, jobs.each_batch(totals, write, f"{folder}/checkpoint", "update"))
+        settled(spark)
+        seen.append(sum(counts.late.values()))
+
+    late = [("a", 1.0, 3_000 + i) for i in range(7)]
+    steps = [[("a", 1.0, 1_000)], [("a", 1.0, 2_000), ("a", 1.0, DAY_END + 60_000)], [*late, ("a", 1.0, DAY_END + 61_000)], [("b", 1.0, 5_000)]]
+    try:
+        feed_in_steps(spark, steps, FACT, folder, start)
+    finally:
+        spark.streams.removeListener(counts)
+    assert seen == [0, 0, 7, 8] and counts.exact
     final = spark.read.parquet(f"{folder}/out").groupBy("day", "org").agg(F.max("n").alias("n")).collect()
     assert sorted((r.day, r.n) for r in final) == [(0, 2), (1, 2)]
 
 
+def test_late_rows_within_one_run_are_those_that_are_dropped(spark):
+    """Over many batches of one run, what is counted and what is stored add up to the input."""
+    folder = work_dir(spark, "late-run")
+    rng = random.Random(4)
+    total = 0
+    for step in range(10):
+        newest = step * DAY_END // 2
+        rows = [(rng.choice("abc"), 1.0, max(0, newest - rng.choice([0, 1_000, 3 * DAY_END]) - rng.randrange(1000))) for _ in range(30)]
+        spark.createDataFrame(exact(rows), FACT).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        total += len(rows)
+    counts = count_streams(spark)
+    try:
+        totals = daily_totals_stream(read_folder(spark, f"{folder}/in", FACT, maxFilesPerTrigger="1"), ["org"], {"n": None})
+
+        def write(batch, batch_id):
+            batch.write.mode("overwrite").parquet(f"{folder}/out/batch_id={batch_id}")
+
+        run_to_end(spark, jobs.each_batch(totals, write, f"{folder}/checkpoint", "update"))
+        settled(spark)
+    finally:
+        spark.streams.removeListener(counts)
+    stored = spark.read.parquet(f"{folder}/out").groupBy("day", "org").agg(F.max("n").alias("n")).agg(F.sum("n")).first()[0]
+    assert 0 < sum(counts.late.values()) == total - stored
+
+
+def test_malformed_text_is_set_aside_and_counted(spark):
+    import json
+
+    folder = work_dir(spark, "dead")
+    good = json.dumps(change("base_dic", "r", 4, {"id": "7", "name": "x"}))
+    spark.createDataFrame([(good, 0), ("{broken", 1), ("[1,2]", 2), (None, 3), (good, 4)], RAW).write.parquet(f"{folder}/raw")
+    counts = count_streams(spark)
+    try:
+        run_to_end(spark, jobs.capture_job(read_folder(spark, f"{folder}/raw"), f"{folder}/ods", f"{folder}/c"))
+        settled(spark)
+    finally:
+        spark.streams.removeListener(counts)
+    assert sum(counts.captured.values()) == 5 and sum(counts.malformed.values()) == 2
+    stored = spark.read.parquet(f"{folder}/ods")
+    assert sorted(r.after for r in stored.where("table = '__malformed'").collect()) == ["[1,2]", "{broken"]
+    assert stored.where("table = 'base_dic'").count() == 2
+
+
+def test_captured_histories_are_in_order_from_file_to_file(spark):
+    import json
+
+    folder = work_dir(spark, "ordered")
+    rng = random.Random(2)
+    expected = []
+    for batch in range(2):
+        rows = []
+        for i in range(400):
+            key = "hot" if rng.random() < 0.5 else str(rng.randrange(20))
+            rows.append((json.dumps(change(rng.choice(["base_dic", "base_organ"]), "u", 1000 * batch + rng.randrange(50), {"id": key}, {"id": key})), 1000 * batch + i))
+        rng.shuffle(rows)
+        spark.createDataFrame(rows, RAW).coalesce(1).write.mode("append").parquet(f"{folder}/raw")
+        expected.append(len(rows))
+    job = jobs.ordered_capture_job(read_folder(spark, f"{folder}/raw", maxFilesPerTrigger="1"), f"{folder}/ods", f"{folder}/c")
+    run_to_end(spark, job, {"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    stored = spark.read.parquet(f"{folder}/ods").select("*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("place")).collect()
+    assert len(stored) == sum(expected)
+    histories, files = {}, set()
+    for r in sorted(stored, key=lambda r: (r.batch_id, r.file.rsplit("/", 1)[1].split("-")[1], r.place)):
+        key = (r.table, json.loads(r.after)["id"])
+        histories.setdefault(key, []).append((r.ts, r.seq))
+        files.add((r.batch_id, key, r.file))
+    assert all(h == sorted(h) for h in histories.values())
+    assert sum(key == ("base_dic", "hot") and batch == 0 for batch, key, _ in files) > 1
+
+
 @pytest.fixture
 def dims(spark):
     organ = spark.createDataFrame(
