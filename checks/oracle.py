@@ -390,6 +390,27 @@ SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(event_id AS VARCHAR) AS event_i
 ORACLE["stream_snapshot_timer"] = f"""WITH {SNAPSHOTS}
 SELECT day, event_type, tick_ms, n_events, total_value FROM snapshots
 WHERE tick_ms <= (SELECT max(at_ms) FROM at_events) - 5000"""
+ORACLE["stream_snapshot_steps"] = ORACLE["stream_snapshot_timer"]
+
+
+def late_totals(delay_ms: int) -> str:
+    """A row counts unless its day had ended by the watermark of the micro-batch before its own."""
+    return f"""WITH {EVENTS_AT},
+span AS (SELECT min(at_ms) AS low, greatest(max(at_ms) - min(at_ms), 1) AS wide FROM at_events),
+stepped AS (
+  SELECT {day('at_ms')} AS day, event_type, val, at_ms,
+         least(least(floor((at_ms - low) * 8 / wide), 7) + CASE WHEN event_id % 13 = 0 THEN 3 ELSE 0 END, 7) AS step
+  FROM at_events, span),
+seen AS (SELECT step, max(max(at_ms)) OVER (ORDER BY step) - {delay_ms} AS passed FROM stepped GROUP BY step),
+held AS (SELECT step, coalesce(lag(passed, 2) OVER (ORDER BY step), 0) AS passed FROM seen)
+SELECT day, event_type, count(*) AS n_events, CAST(sum(val) AS DECIMAL(38,2)) AS total_value
+FROM stepped JOIN held USING (step)
+WHERE (day + CAST(1 AS BIGINT)) * {DAY_MS} - {EIGHT_HOURS} > passed
+GROUP BY 1, 2"""
+
+
+ORACLE["stream_mart_late"] = late_totals(5_000)
+ORACLE["stream_mart_late_10s"] = late_totals(10_000)
 
 for _fact, _time in ORDER_FACT_TIMES.items():
     ORACLE[_fact.replace("dwd_", "fact_")] = f"""WITH {LIFECYCLE}

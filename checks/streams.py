@@ -16,8 +16,10 @@ from parcelflow.plans.marts import ALL_MARTS
 from parcelflow.session import STATE_STORE_CONF, conf_scope, work_dir, written
 from parcelflow.sources.readers import RAW, read_folder
 from parcelflow.sources.sinks import append_mart, read_dimension, read_mart, stream_to_folder
+from parcelflow.sources.store import publish_batch
 from parcelflow.streaming import jobs
-from parcelflow.streaming.operators import running_snapshots_stream
+from parcelflow.streaming.operators import daily_totals_stream, running_snapshots_stream
+from parcelflow.streaming.snapshots import snapshot_job
 
 #: The whole input in one micro-batch: nothing can be late, so the outcome equals the batch form.
 EVERYTHING = {"maxFilesPerTrigger": "1000000"}
@@ -143,3 +145,49 @@ def stream_snapshot_timer(spark, sf_dir):
     snapshots = _money_sum(running_snapshots_stream(rows, ["event_type"], EVENT_MEASURES), "total_value")
     run_to_end(spark, stream_to_folder(snapshots, f"{folder}/rows", f"{folder}/checkpoint"))
     return spark.read.schema(snapshots.schema).parquet(f"{folder}/rows")
+
+
+@query
+def stream_snapshot_steps(spark, sf_dir):
+    """The refreshes as a job over many micro-batches."""
+    folder = work_dir(spark, "stream-snapshot-steps")
+    events = written(table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "event_type", money("value").alias("value"), epoch_ms("ts").alias("ts")), "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    step = F.least(F.floor((F.col("ts") - first) * STEPS / F.lit(max(last - first, 1))), F.lit(STEPS - 1))
+    rows = in_steps(spark, folder, events.drop("seq"), step)
+    layout = "day INT, event_type STRING, tick_ms BIGINT, n_events BIGINT, total_value DECIMAL(26,2)"
+
+    def sink(batch, batch_id):
+        publish_batch(batch.select("day", "event_type", "tick_ms", "n_events", "total_value"), batch_id, f"{folder}/rows")
+
+    run_to_end(spark, snapshot_job(rows, ["event_type"], EVENT_MEASURES, sink, f"{folder}/held", f"{folder}/checkpoint"))
+    return _money_sum(spark.read.schema(layout).parquet(f"{folder}/rows").drop("batch_id"), "total_value")
+
+
+def _late_totals(spark: SparkSession, sf_dir: str, delay: str) -> DataFrame:
+    """Daily totals of a feed of which every 13th event comes three steps late: some of them after their day."""
+    folder = work_dir(spark, "stream-late")
+    events = written(table(spark, sf_dir, "events").select("event_id", "event_type", money("value").alias("value"), epoch_ms("ts").alias("ts")), "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    on_time = F.least(F.floor((F.col("ts") - first) * STEPS / F.lit(max(last - first, 1))), F.lit(STEPS - 1))
+    step = F.least(on_time + F.when(F.col("event_id") % 13 == 0, 3).otherwise(0), F.lit(STEPS - 1))
+    rows = in_steps(spark, folder, events, step)
+    totals = daily_totals_stream(rows, ["event_type"], EVENT_MEASURES, delay=delay)
+
+    def write(batch, batch_id):
+        publish_batch(batch, batch_id, f"{folder}/totals")
+
+    run_to_end(spark, jobs.each_batch(totals, write, f"{folder}/checkpoint", "update"))
+    stored = spark.read.parquet(f"{folder}/totals")
+    newest = stored.groupBy("day", "event_type").agg(F.max("n_events").alias("n_events"), F.max_by("total_value", "batch_id").alias("total_value"))
+    return _money_sum(newest, "total_value")
+
+
+@query
+def stream_mart_late(spark, sf_dir):
+    return _late_totals(spark, sf_dir, "5 seconds")
+
+
+@query
+def stream_mart_late_10s(spark, sf_dir):
+    return _late_totals(spark, sf_dir, "10 seconds")

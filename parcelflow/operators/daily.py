@@ -96,13 +96,14 @@ def tick_totals(
     ts: str = "ts",
     offset_hours: int = times.BUSINESS_OFFSET_HOURS,
     refresh_ms: int = REFRESH_MS,
+    extra: tuple[Column, ...] = (),
 ) -> DataFrame:
-    """Totals of single refresh intervals per business day and ``by``."""
+    """Totals of single refresh intervals per business day and ``by``, with ``extra`` aggregates."""
     sums = [(F.count(F.lit(1)) if c is None else F.sum(c)).alias(name) for name, c in measures.items()]
     ticked = facts.withColumns(
         {DAY: times.day_number(ts, offset_hours), "tick_ms": tick(F.col(ts), offset_hours, refresh_ms).cast("bigint")}
     )
-    return ticked.groupBy(DAY, *by, "tick_ms").agg(*sums)
+    return ticked.groupBy(DAY, *by, "tick_ms").agg(*sums, *extra)
 
 
 def accumulate_ticks(

@@ -141,6 +141,28 @@ def test_late_rows_within_one_run_are_those_that_are_dropped(spark):
     assert 0 < sum(counts.late.values()) == total - stored
 
 
+def test_mart_snapshots_as_a_job_stopped_midway(spark, dims, monkeypatch):
+    """Refreshes of a mart over several batches, one of them tried twice, against the batch form."""
+    import parcelflow.streaming.snapshots as snapshots_module
+    from parcelflow.plans.marts import mart_snapshots
+    from parcelflow.sources.store import BucketStore
+
+    mart = ALL_MARTS["dws_bound_org_sort_day_base"]
+    layout = "org_id STRING, ts BIGINT"
+    rows = [(random.Random(i).choice(["1", "2", None]), 1_700 * i) for i in range(40)] + [("1", DAY_END - 2), ("2", DAY_END + 100_000)]
+    folder = work_dir(spark, "mart-snapshots")
+    for k in range(4):
+        part = rows[k * 12 : (k + 1) * 12]
+        spark.createDataFrame(part, layout).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    make = lambda: snapshots_module.mart_snapshot_job(read_folder(spark, f"{folder}/in", layout, maxFilesPerTrigger="1"), mart, lambda: dims, f"{folder}/mart", f"{folder}/held", f"{folder}/c")
+    stopped_once(monkeypatch, BucketStore, "replace", 2)
+    run_through_a_stop(spark, make)
+    got = read_mart(spark, f"{folder}/mart", mart.table)
+    want = mart_snapshots(spark.createDataFrame(rows, layout), mart, dims).where(F.col("tick_ms") < DAY_END)
+    assert sorted((str(r.org_id), r.ts, r.sort_count_base) for r in got.collect()) == sorted((str(r.org_id), r.tick_ms, r.sort_count_base) for r in want.collect())
+    assert {r.org_name for r in got.where("org_id = '1'").collect()} == {"one"}
+
+
 def test_malformed_text_is_set_aside_and_counted(spark):
     import json
 
