@@ -168,20 +168,56 @@ def read_dimension(spark: SparkSession, path: str, sink_table: str, sink_pk: str
     return kept.select(F.col("pk").alias(sink_pk), *[F.col("row")[c].alias(c) for c in others])
 
 
+def _quoted(*names: str | None) -> str:
+    """An identifier from config text."""
+    return ".".join("`" + n.replace("`", "``") + "`" for n in names if n)
+
+
+def _config_columns(row) -> list[str]:
+    """The key first, then the other configured columns, each once."""
+    return list(dict.fromkeys([row.sink_pk, *[c for c in (row.sink_columns or "").split(",") if c]]))
+
+
 def create_dimensions(spark: SparkSession, config: DataFrame, database: str | None = None) -> list[str]:
     """Create the configured dimension tables that do not exist, every column a text.
 
     One row of the config is one table, so the config is small by nature.  The column
-    family becomes a table property.
+    family becomes a table property.  A table that exists gets the columns that the config
+    has added since; its rows have nulls there.
     """
     created = []
     for row in config.select("sink_table", "sink_pk", "sink_columns", sink_family("sink_family").alias("family")).collect():
-        name = f"{database}.{row.sink_table}" if database else row.sink_table
+        name, columns = _quoted(database, row.sink_table), _config_columns(row)
         if spark.catalog.tableExists(name):
+            known = {c.name.lower() for c in spark.catalog.listColumns(name)}
+            added = [c for c in columns if c.lower() not in known]
+            if added:
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'{_quoted(c)} STRING' for c in added)})")
             continue
-        others = [c for c in row.sink_columns.split(",") if c and c != row.sink_pk]
-        columns = ", ".join(f"`{c}` STRING" for c in [row.sink_pk, *others])
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet TBLPROPERTIES ('family' = '{row.family}')")
-        created.append(name)
+        layout = ", ".join(f"{_quoted(c)} STRING" for c in columns)
+        family = row.family.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({layout}) USING parquet TBLPROPERTIES ('family' = '{family}')")
+        created.append(f"{database}.{row.sink_table}" if database else row.sink_table)
     return created
 
+
+def bind_dimensions(spark: SparkSession, path: str, config: DataFrame, database: str | None = None) -> list[str]:
+    """Catalog views ``<sink_table>_current`` over the version of the dimension store in force.
+
+    A view has the configured columns, those added since included; rows stored before are null
+    there.  It lists the folders of that version, at most one per bucket, and is replaced in
+    one step when it is bound again, after an upsert or a change of the config.  Vacuum the
+    store with as many versions kept as views may lag behind.
+    """
+    store = dimension_store(spark, path)
+    version, bound = store.version(), []
+    for row in config.select("sink_table", "sink_pk", "sink_columns").collect():
+        columns = _config_columns(row)
+        parts = [f"SELECT pk, op, row FROM parquet.{_quoted(folder)}" for folder in store.folders(row.sink_table, version)]
+        parts = parts or ["SELECT CAST(NULL AS STRING) AS pk, 'd' AS op, CAST(NULL AS MAP<STRING, STRING>) AS row"]
+        others = [f"row['{c.replace(chr(92), chr(92) * 2).replace(chr(39), chr(92) + chr(39))}'] AS {_quoted(c)}" for c in columns[1:]]
+        chosen = ", ".join([f"pk AS {_quoted(columns[0])}", *others])
+        name = _quoted(database, f"{row.sink_table}_current")
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {chosen} FROM ({' UNION ALL '.join(parts)}) WHERE op <> 'd'")
+        bound.append(f"{row.sink_table}_current")
+    return bound

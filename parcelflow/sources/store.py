@@ -142,6 +142,11 @@ class BucketStore:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*[self._folder(version.folders[p], p) for p in places])
 
+    def folders(self, table: str, version: Version | None = None) -> list[str]:
+        """Where the current rows of a table are stored."""
+        version = version or self.version()
+        return [self._folder(v, p) for p, v in sorted(version.folders.items()) if p.rsplit("/", 1)[0] == _escaped(table)]
+
     def rows(self, table: str | None = None, version: Version | None = None) -> DataFrame:
         """Current rows, deletes included, of one table or of all; reads just their folders."""
         version = version or self.version()

@@ -16,13 +16,15 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from parcelflow.operators.changes import decode_changes, drop_unusable, encode_changes, set_malformed_aside
 from parcelflow.operators.carry import HOT_ROWS
+from parcelflow.operators.daily import latest_published
 from parcelflow.operators.order_cargo import ORDER_WAIT_MS, pair_batch, relevant_events
 from parcelflow.operators.transitions import ORDER_LIFECYCLE
 from parcelflow.plans import facts as fact_plans
-from parcelflow.plans.dimensions import route_dimensions
-from parcelflow.plans.marts import Dimensions, Mart, at_grain, finish
+from parcelflow.plans.dimensions import changed_keys, route_dimensions
+from parcelflow.plans.marts import ALL_MARTS, Dimensions, Mart, at_grain, finish
+from parcelflow.plans.refresh import changed_ids, renamed
 from parcelflow.session import written
-from parcelflow.sources.sinks import BatchWriter, fan_out_to_folders, stream_to_folder, stream_to_topic, upsert_dimensions
+from parcelflow.sources.sinks import BatchWriter, append_mart, fan_out_to_folders, read_mart, stream_to_folder, stream_to_topic, upsert_dimensions
 from parcelflow.sources.store import BucketStore, publish_batch
 from parcelflow.streaming.metrics import CAPTURE
 from parcelflow.streaming.operators import daily_totals_stream
@@ -155,3 +157,27 @@ def mart_job(
         sink(finish(batch, mart, dims(), version), batch_id)
 
     return each_batch(totals, write, checkpoint, "update")
+
+
+def rename_job(
+    changes: DataFrame, config: Callable[[], DataFrame], dims: DimensionReader, marts: dict[str, str], checkpoint: str, version: Column | None = None
+) -> DataStreamWriter:
+    """Dimension updates -> new versions of the mart rows that name a changed row.
+
+    ``marts`` maps mart tables to their folders.  Run it behind :func:`dimension_job`, so that
+    ``dims`` has the new names.  Its batches have ids of their own below zero.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        changed = written(changed_keys(route_dimensions(batch, config())), "changed-keys")
+        if changed.isEmpty():
+            return
+        now = dims()
+        ids = written(changed_ids(changed, now), "changed-ids")
+        for table, path in marts.items():
+            mart = ALL_MARTS[table]
+            current = latest_published(read_mart(spark, path, table), list(mart.keys))
+            append_mart(path)(renamed(current, mart, now, ids, version), -1 - batch_id)
+
+    return each_batch(changes, write, checkpoint)

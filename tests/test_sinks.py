@@ -106,6 +106,27 @@ def test_create_dimensions(spark):
     assert properties["family"] == dimensions.DEFAULT_FAMILY
 
 
+CONFIG = "source_table STRING, sink_table STRING, sink_family STRING, sink_columns STRING, sink_pk STRING, foreign_keys STRING"
+
+
+def test_config_that_grows_adds_columns(spark):
+    path = f"{work_dir(spark, 'bound')}/store"
+    config = lambda columns: spark.createDataFrame([("x", "dim_x", None, columns, "id", None)], CONFIG)
+    assert sinks.bind_dimensions(spark, path, config("id,name")) == ["dim_x_current"]
+    assert spark.table("dim_x_current").count() == 0
+    sinks.upsert_dimensions(path)(routed(spark, ("1", "c", 1, "a"), ("2", "c", 1, "b")), 0)
+    sinks.bind_dimensions(spark, path, config("id,name"))
+    assert sorted(map(tuple, spark.table("dim_x_current").collect())) == [("1", "a"), ("2", "b")]
+    wider = spark.createDataFrame([("dim_x", "2", "u", 2, 0, {"name": "b", "odd`'col": "new"}), ("dim_x", "1", "d", 3, 0, None)], ROUTED)
+    sinks.upsert_dimensions(path)(wider, 1)
+    sinks.bind_dimensions(spark, path, config("id,name,odd`'col"))
+    assert [r.asDict() for r in spark.sql("SELECT * FROM dim_x_current").collect()] == [{"id": "2", "name": "b", "odd`'col": "new"}]
+    sinks.create_dimensions(spark, config("id,name"))
+    assert sinks.create_dimensions(spark, config("id,name,phone")) == []
+    spark.sql("INSERT INTO dim_x VALUES ('1', 'a', NULL)")
+    assert [tuple(r) for r in spark.table("dim_x").select("id", "name", "phone").collect()] == [("1", "a", None)]
+
+
 def test_fan_out_replay_does_not_repeat(spark):
     path = f"{work_dir(spark, 'fan')}/facts"
     write = sinks.fan_out_to_folders(path)

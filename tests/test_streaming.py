@@ -163,6 +163,37 @@ def test_mart_snapshots_as_a_job_stopped_midway(spark, dims, monkeypatch):
     assert {r.org_name for r in got.where("org_id = '1'").collect()} == {"one"}
 
 
+def test_a_renamed_organisation_changes_its_rows_only(spark, dims):
+    import json
+
+    table = "dws_bound_org_sort_day_base"
+    mart, folder = ALL_MARTS[table], work_dir(spark, "renamed")
+    facts = spark.createDataFrame([(org, ts) for org in ("1", "2", "3", None) for ts in (0, DAY_END + 5)], "org_id STRING, ts BIGINT")
+    append_mart(f"{folder}/mart")(daily_mart(facts, mart, dims, version=F.lit(10).cast("bigint")), 0)
+    newest = lambda: {(str(r.cur_date), r.org_id): r for r in latest_published(read_mart(spark, f"{folder}/mart", table), ["org_id"]).collect()}
+    before = newest()
+    organ = {"id": "3", "org_name": "three", "org_parent_id": "1", "region_id": "d3"}
+    rows = [(json.dumps(change("base_organ", "u", 5, {**organ, "org_name": "THREE"}, organ)), 1), (json.dumps(change("base_organ", "u", 6, {"id": "77"}, {"id": "77"})), 2)]
+    spark.createDataFrame(rows, RAW).coalesce(1).write.parquet(f"{folder}/raw")
+    now = {**dims, "base_organ": dims["base_organ"].withColumn("org_name", F.when(F.col("id") == "3", "THREE").otherwise(F.col("org_name")))}
+    config = spark.createDataFrame(
+        [("base_organ", "dim_base_organ", None, "id,org_name", "id", "region_id")],
+        "source_table STRING, sink_table STRING, sink_family STRING, sink_columns STRING, sink_pk STRING, foreign_keys STRING",
+    )
+    from parcelflow.operators.changes import decode_changes
+
+    changes = decode_changes(read_folder(spark, f"{folder}/raw", RAW))
+    run_to_end(spark, jobs.rename_job(changes, lambda: config, lambda: now, {table: f"{folder}/mart"}, f"{folder}/c", F.lit(20).cast("bigint")))
+    after = newest()
+    assert len(before) == len(after) == 8 and read_mart(spark, f"{folder}/mart", table).count() == 10
+    for key, row in after.items():
+        if key[1] == "3":
+            assert (row.org_name, row.ts) == ("THREE", 20)
+            assert {**row.asDict(), "org_name": "three", "ts": 10} == before[key].asDict()
+        else:
+            assert row == before[key]
+
+
 def test_malformed_text_is_set_aside_and_counted(spark):
     import json
 
