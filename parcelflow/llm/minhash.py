@@ -83,13 +83,16 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets, minima = [], []
             for row in range(part.num_rows):
                 full = count[row] > 0
-                sets.append(hashlib.blake2b(values[bounds[row] : bounds[row + 1]].tobytes(), digest_size=16).digest() if full else None)
+                sets.append(_set_name(values[bounds[row] : bounds[row + 1]]) if full else None)
                 minima.append(next(signed).tobytes() if full else None)
             yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "n_shingles": count, "same": pa.array(sets, pa.binary()), "minima": pa.array(minima, pa.binary())})
 
 
-def _regions(depth: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (doc_id, pop, tree, region) for the trees that each row still takes part in."""
+def _regions(depths: tuple[int, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (doc_id, pop, tree, region, above) for the trees that each row takes part in, at each depth.
+
+    ``above`` is the region at the depth before, null at the first one.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,15 +108,32 @@ def _regions(depth: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                     rows = np.flatnonzero(active[:, tree])
                     if not len(rows):
                         continue
-                    order = (tree * LEAST_DEPTH + np.arange(depth)) % SIZE
-                    key = mix((minima[np.ix_(rows, order)] * _PLACE[:depth]).sum(1, dtype=np.uint64) + np.uint64(tree * 7919 + 1))
-                    yield pa.RecordBatch.from_pydict(
-                        {"doc_id": doc[rows], "pop": pop[rows], "tree": np.full(len(rows), tree, np.int32), "region": key.view(np.int64)}
-                    )
+                    above = pa.nulls(len(rows), pa.int64())
+                    for depth in depths:
+                        order = (tree * LEAST_DEPTH + np.arange(depth)) % SIZE
+                        key = mix((minima[np.ix_(rows, order)] * _PLACE[:depth]).sum(1, dtype=np.uint64) + np.uint64(tree * 7919 + depth * 104729 + 1))
+                        region = pa.array(key.view(np.int64))
+                        yield pa.RecordBatch.from_pydict(
+                            {"doc_id": doc[rows], "pop": pop[rows], "tree": np.full(len(rows), tree, np.int32), "region": region, "above": above}
+                        )
+                        above = region
 
     return make
 
 
+def _of_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text, same) whose text has the set named ``same``."""
+    for batch in batches:
+        for part in slices(batch):
+            values, bounds = shingle_sets(part.column("text"))
+            good = [_set_name(values[bounds[row] : bounds[row + 1]]) == same for row, same in enumerate(part.column("same").to_pylist())]
+            yield part.select(["doc_id", "text"]).filter(pa.array(good, pa.bool_()))
+
+
+def _set_name(values: np.ndarray) -> bytes:
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
@@ -153,34 +173,33 @@ class _Forest:
         df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
-    def candidates(self, first: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Pairs of documents with their centres, and pairs of neighbours; ``first`` has one row per set."""
-        centred, near = [], []
+    def candidates(self, first: DataFrame) -> DataFrame:
+        """Pairs of documents with their centres, and pairs of neighbours; ``first`` has one row per set.
+
+        Dense regions are looked at anew at all depths in one pass.  A region within one that is
+        not dense tells nothing more and is left out.
+        """
         start = first.select("doc_id", "minima", F.lit(0).cast("long").alias("pop"), F.lit(None).cast("array<int>").alias("trees"))
-        members = self.first_members = self._members(start, LEAST_DEPTH, "first")
-        near.append(self._near(members))
-        centred.append(self._pairs(members.where(F.col("n") <= self.neighbours), "least"))
-        dense = members.where(F.col("n") > self.neighbours)
-        state = self._next(dense, first, F.sum("n"))
-        for level, depth in enumerate(DEPTHS):
-            if state.isEmpty():
-                break
-            name = f"dense-{level}"
-            state = self.stored(state, f"{name}-state")
-            members = self._members(state, depth, name)
-            near.append(self._near(members))
-            centred += [self._pairs(members, "least"), self._pairs(members, "centre")]
-            state = self._next(members.where(F.col("n") > self.neighbours), first, F.max("pop"))
-        return self._union(centred), self._union(near)
-
-    def _members(self, state: DataFrame, depth: int, name: str) -> DataFrame:
-        rows = state.mapInArrow(_regions(depth), "doc_id long, pop long, tree int, region long")
+        members = self.first_members = self._members(start, DEPTHS[:1], "first")
+        pairs = [self._near(members), self._pairs(members.where(F.col("n") <= self.neighbours), "least")]
+        trees = members.where(F.col("n") > self.neighbours).groupBy("doc_id").agg(F.sum("n").alias("pop"), F.collect_set("tree").alias("trees"))
+        state = self.stored(first.select("doc_id", "minima").join(trees, "doc_id").select("doc_id", "minima", "pop", "trees"), "dense")
+        if not state.isEmpty():
+            members = self._members(state, DEPTHS, "dense")
+            pairs += [self._near(members), self._pairs(members, "least"), self._pairs(members, "centre")]
+        return self._union(pairs)
+
+    def _members(self, state: DataFrame, depths: tuple[int, ...], name: str) -> DataFrame:
+        rows = state.mapInArrow(_regions(depths), "doc_id long, pop long, tree int, region long, above long")
         regions = rows.groupBy("region").agg(
-            F.count("*").alias("n"), F.min("doc_id").alias("least"), F.max(F.struct("pop", -F.col("doc_id"))).alias("top")
+            F.count("*").alias("n"), F.min("doc_id").alias("least"), F.max(F.struct("pop", -F.col("doc_id"))).alias("top"), F.min("above").alias("above")
         )
-        regions = regions.where("n > 1").select("region", "n", "least", (-F.col("top.col2")).alias("centre"))
+        regions = regions.where("n > 1").select("region", "n", "least", (-F.col("top.col2")).alias("centre"), "above")
         regions = self.stored(regions, f"{name}-regions")
-        return self.stored(rows.join(regions, "region"), f"{name}-members")
+        if len(depths) > 1:
+            dense = regions.where(F.col("n") > self.neighbours).select(F.col("region").alias("above"))
+            regions = regions.where("above IS NULL").unionByName(regions.join(dense, "above", "left_semi"))
+        return self.stored(rows.drop("above").join(regions.drop("above"), "region"), f"{name}-members")
 
     def _near(self, members: DataFrame) -> DataFrame:
         small = members.where(F.col("n") <= self.neighbours).groupBy("region").agg(F.array_sort(F.collect_set("doc_id")).alias("ids"))
@@ -191,10 +210,6 @@ class _Forest:
         ends = members.where(F.col("doc_id") != F.col(centre))
         return ends.select(F.least("doc_id", centre).alias("a"), F.greatest("doc_id", centre).alias("b")).distinct()
 
-    def _next(self, dense: DataFrame, first: DataFrame, pop: F.Column) -> DataFrame:
-        trees = dense.groupBy("doc_id").agg(pop.alias("pop"), F.collect_set("tree").alias("trees"))
-        return first.select("doc_id", "minima").join(trees, "doc_id").select("doc_id", "minima", "pop", "trees")
-
     @staticmethod
     def _union(parts: list[DataFrame]) -> DataFrame:
         out = parts[0]
@@ -261,25 +276,17 @@ class _Forest:
         usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
         sets = self.stored(usable.groupBy("same").agg(F.min("doc_id").alias("lead")), "sets")
         first = self.stored(
-            usable.select("doc_id", "minima", "same").join(sets.select("same", F.col("lead").alias("doc_id")), ["same", "doc_id"], "left_semi").dropDuplicates(["doc_id"]),
+            usable.select("doc_id", "minima", "same").join(sets.select("same", F.col("lead").alias("doc_id")), ["same", "doc_id"], "left_semi").groupBy("doc_id").agg(F.min(F.struct("same", "minima")).alias("s")).select("doc_id", "s.same", "s.minima"),
             "first",
         )
-        centred, near = self.candidates(first)
-        centred, near = self.stored(centred, "centred"), self.stored(near, "near")
-        ids = self.stored(centred.unionByName(near).select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+        pairs = self.stored(self.candidates(first), "pairs")
+        ids = self.stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
         seen = self.stored(seen_keys(ids, "doc_id"), "seen")
-        # a repeated id has one row here, by the set that leads
-        texts = maybe_seen(self.docs, "doc_id", seen).join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        texts = self.stored(texts, "texts")
-        links = self.confirmed(centred, texts, "links")
-        groups = self.stored(components(links), "groups")
-        # neighbours that the centres have not tied together yet
-        side = groups.select(F.col("node").alias("b"), F.col("component").alias("group_b"))
-        apart = near.join(side, "b", "left").join(side.toDF("a", "group_a"), "a", "left")
-        apart = apart.where(F.coalesce("group_a", "a") != F.coalesce("group_b", "b")).select("a", "b")
-        more = self.confirmed(apart, texts, "more")
-        if not more.isEmpty():
-            groups = self.stored(components(groups.toDF("a", "b").unionByName(more)), "groups-again")
+        # of a repeated id the text whose set stands for it
+        ids = ids.join(first.select("doc_id", "same"), "doc_id")
+        texts = maybe_seen(self.docs, "doc_id", seen).join(ids.hint("merge"), "doc_id")
+        texts = self.stored(texts.mapInArrow(_of_set, "doc_id long, text string").dropDuplicates(["doc_id"]), "texts")
+        groups = self.stored(components(self.confirmed(pairs, texts, "links")), "groups")
         # what the forest has not compared where it is dense
         apart = self.apart(groups)
         if not apart.isEmpty():
@@ -304,7 +311,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT, neighbours:
     documents at the threshold have none with probability (1 - 0.75^3)^21, about one in
     100,000.  Pairs with one are compared, or tied together already.  Rows with a null id are counted and kept, and
     linked with nothing beyond their equals.  Rows that repeat an id with different texts
-    are one document to the links.  Other columns are not read.
+    are one document to the links, with the text whose set has the least digest.  Other columns are not read.
     """
     return _Forest(docs, percent, neighbours).run()
 
