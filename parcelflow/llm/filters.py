@@ -14,17 +14,20 @@ def _place(key: str) -> Column:
 
 
 def seen_keys(keys: DataFrame, key: str) -> DataFrame:
-    """The bit table of the values of ``key``: one row of bits for each 32,768 places."""
+    """The bit table of the values of ``key``: one row of 1,024 numbers of 32 bits for each 32,768 places."""
     place = _place(key)
-    return keys.groupBy(F.call_function("bitmap_bucket_number", place).alias("bucket")).agg(
+    table = keys.groupBy(F.call_function("bitmap_bucket_number", place).alias("bucket")).agg(
         F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", place)).alias("bits")
     )
+    number = lambda i: F.conv(F.hex(F.substring(F.col("bits"), i * 4 + 1, F.lit(4))), 16, 10).cast("long")
+    return table.select("bucket", F.transform(F.sequence(F.lit(0), F.lit(1023)), number).alias("numbers"))
 
 
 def maybe_seen(rows: DataFrame, key: str, seen: DataFrame) -> DataFrame:
     """Rows whose ``key`` may be in the bit table.  None that is goes missing; a few others pass."""
     place = _place(key)
     marked = rows.withColumn("bucket", F.call_function("bitmap_bucket_number", place)).join(F.broadcast(seen), "bucket")
-    bit = F.call_function("bitmap_bit_position", place)
-    byte = F.conv(F.hex(F.substring(F.col("bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return marked.where(F.call_function("getbit", byte, (bit % 8).cast("int")) == 1).drop("bucket", "bits")
+    # bits count from the low end of each byte, bytes from the high end of each number
+    bit = F.call_function("bitmap_bit_position", place).cast("int")
+    at = (F.lit(3) - F.shiftright(bit, 3).bitwiseAND(F.lit(3))) * 8 + bit.bitwiseAND(F.lit(7))
+    return marked.where(F.call_function("getbit", F.get("numbers", F.shiftright(bit, 5)), at) == 1).drop("bucket", "numbers")

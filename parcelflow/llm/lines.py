@@ -37,29 +37,67 @@ def _shifts(delta: int, segment: int, edits: int) -> range:
     return range(low, high + 1)
 
 
+def _segment(length: Column, segment: Column, edits: int) -> tuple[Column, Column]:
+    """Where a segment of a line of ``length`` begins, from 0, and how long it is."""
+    parts = edits + 1
+    extra = length % parts
+    base = ((length - extra) / parts).cast("int")
+    return base * segment + F.greatest(F.lit(0), segment - (parts - extra)), base + (segment >= parts - extra).cast("int")
+
+
 def _keyed(rows: DataFrame, text: str, parent: Column, edits: int) -> DataFrame:
-    """Rows (h, g, line, key, own, rest) for each key of ``text``; ``rest`` is what the key leaves of it.
+    """Rows (h, g, line, key, own, delta, segment, shift, length, rest) for each key of ``text``; ``rest`` is what the key leaves of it.
 
     A line has keys of its own segments (own) and of the probes, which are segments that a
     line ``delta`` shorter would have, a few places to either side.  Every row makes one
-    key from numbers, which keeps the compiled code small.
+    key from numbers, which keeps the compiled code small.  A row that a key has led to keeps
+    its part there: one that probes for a line ``delta`` shorter goes on doing only that.
     """
     parts = edits + 1
     kinds = [(d, k, s) for d in range(edits + 1) for k in range(parts) for s in _shifts(d, k, edits)]
     probes = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(("delta", "segment", "shift"), kind, strict=True)]) for kind in kinds])
-    each = rows.select("h", "g", "line", F.col(text).alias("text"), parent.alias("parent"), F.length(text).alias("chars"), F.explode(probes).alias("p"))
-    each = each.select("h", "g", "line", "text", "parent", "chars", "p.*").withColumn("length", F.col("chars") - F.col("delta"))
-    extra = F.col("length") % parts
-    base = ((F.col("length") - extra) / parts).cast("int")
-    size = base + (F.col("segment") >= parts - extra).cast("int")
-    at = base * F.col("segment") + F.greatest(F.lit(0), F.col("segment") - (parts - extra)) + 1 + F.col("shift")
-    each = each.withColumns({"size": size, "at": at.cast("int")})
+    again = "own" in rows.columns
+    if again:
+        probes = F.filter(probes, lambda p: p["delta"] == F.col("delta"))
+    part = [F.col("own").alias("was_own")] if again else [F.lit(True).alias("was_own")]
+    each = rows.select("h", "g", "line", F.col(text).alias("text"), parent.alias("parent"), *part, F.length(text).alias("chars"), F.explode(probes).alias("p"))
+    each = each.select("h", "g", "line", "text", "parent", "was_own", "chars", "p.*").withColumn("length", F.col("chars") - F.col("delta"))
+    begin, size = _segment(F.col("length"), F.col("segment"), edits)
+    each = each.withColumns({"size": size, "at": (begin + 1 + F.col("shift")).cast("int")})
     each = each.where((F.col("at") >= 1) & (F.col("at") + F.col("size") - 1 <= F.col("chars")) & (F.col("size") > 0))
     key = F.xxhash64("parent", "length", "segment", F.substring(F.col("text"), F.col("at"), F.col("size")))
     before = F.substring(F.col("text"), F.lit(1), F.col("at") - 1)
     after = F.substring(F.col("text"), F.col("at") + F.col("size"), F.lit(2**31 - 1))
-    own = (F.col("delta") == 0) & (F.col("shift") == 0)
-    return each.select("h", "g", "line", key.alias("key"), own.alias("own"), F.concat(before, F.lit("\n"), after).alias("rest"))
+    own = F.col("was_own") & (F.col("delta") == 0) & (F.col("shift") == 0)
+    rest = F.concat(before, F.lit("\n"), after).alias("rest")
+    return each.select("h", "g", "line", key.alias("key"), own.alias("own"), "delta", "segment", "shift", "length", rest)
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """Keys that a line has as its own and another line has too."""
+    found = rows.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.max("own").alias("owned"))
+    return found.where("owned AND low <> high")
+
+
+def _told_already(rows: DataFrame, edits: int) -> DataFrame:
+    """Keys of crowded groups all of whose rows agree on an earlier segment, too.
+
+    Whoever meets there meets under the earlier segment's key as well, so lines that share a
+    template are split again under one key and not under each of its segments.  An earlier
+    segment lies in what is before the key, at the same shift.
+    """
+    agreed = None
+    for k in range(edits):
+        begin, size = _segment(F.col("length"), F.lit(k), edits)
+        low = F.greatest(F.lit(-k), F.col("delta") - (edits - k))
+        high = F.least(F.lit(k), F.col("delta") + (edits - k))
+        probed = (F.col("segment") > k) & (F.col("shift") >= low) & (F.col("shift") <= high) & (size > 0)
+        part = F.when(probed, F.xxhash64(F.substring(F.col("rest"), (begin + 1 + F.col("shift")).cast("int"), size)))
+        same = (F.count(part) == F.count("*")) & (F.min(part) == F.max(part))
+        agreed = same if agreed is None else agreed | same
+    if agreed is None:
+        return rows.select("key").limit(0)
+    return rows.groupBy("key").agg(F.coalesce(agreed, F.lit(False)).alias("agreed")).where("agreed").select("key")
 
 
 def within_edits(left: Column, right: Column, edits: int) -> Column:
@@ -107,14 +145,13 @@ def within_edits(left: Column, right: Column, edits: int) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """One row per line that takes part, with its place in the order of all lines."""
+    """One row per line that takes part: its text, where it stands, and its name (h, g)."""
     text = F.col("text")
-    rows = docs.where(F.col("doc_id").isNotNull() & text.isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), F.posexplode(F.split(text, "\n")).alias("pos", "line")
-    )
-    rows = rows.where(F.length("line") >= EXACT_CHARS)
-    place = F.col("doc_id").cast("decimal(20,0)") * F.lit(10**10).cast("decimal(11,0)") + F.col("pos")
-    return rows.select("*", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), place.cast("decimal(33,0)").alias("place"))
+    whole = docs.where(F.col("doc_id").isNotNull() & text.isNotNull())
+    # the version is made below the generator, or it would be made again for every line
+    whole = whole.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), F.split(text, "\n").alias("lines"))
+    rows = whole.select("doc_id", "version", F.posexplode("lines").alias("pos", "line")).where(F.length("line") >= EXACT_CHARS)
+    return rows.select("*", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"))
 
 
 def near_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
@@ -128,19 +165,19 @@ def near_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
 
     lines = _lines(docs).where(F.length("line") >= NEAR_CHARS).select("h", "g", "line")
     keyed = _keyed(lines, "line", F.lit(0), edits)
-    met = keyed.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("key")
-    seen = stored(seen_keys(met, "key"), "shared-keys")
-    rows = maybe_seen(keyed, "key", seen).select("key", "own", "h", "g", "line", "rest").distinct()
-    rows = stored(rows, "rows-0")
+    columns = ["key", "own", "delta", "segment", "shift", "length", "h", "g", "line", "rest"]
+    seen = stored(seen_keys(_met(keyed).select("key"), "key"), "shared-keys")
+    rows = stored(maybe_seen(keyed, "key", seen).select(*columns).distinct(), "rows-0")
     found, level = [], 0
     while True:
-        groups = rows.groupBy("key").agg(F.count("*").alias("n"), F.max(F.length("rest")).alias("longest"))
+        longest, lines_met = F.max(F.length("rest")).alias("longest"), F.count("*").alias("n")
+        groups = rows.groupBy("key").agg(lines_met, longest, F.max("own").alias("owned"), F.min("h").alias("low"), F.max("h").alias("high"))
+        groups = groups.where("owned AND low <> high")
         # below this length segments get so short that what they leave would not shrink
         crowded = (F.col("n") > GROUP_LINES) | (F.col("n") * F.col("longest") > GROUP_CHARS)
-        split = (F.col("n") > 1) & crowded & (F.col("longest") > 3 * edits + 2)
-        large = stored(groups.where(split).select("key"), f"large-{level}")
-        last = large.isEmpty()
-        small = rows if last else rows.join(large, "key", "left_anti")
+        groups = stored(groups.select("key", (crowded & (F.col("longest") > 3 * edits + 2)).alias("split")), f"groups-{level}")
+        last = groups.where("split").isEmpty()
+        small = rows.join(groups.where("NOT split").select("key"), "key")
         own = small.where("own").select("key", "h", "g", "line", "rest")
         other = small.select("key", F.col("h").alias("h2"), F.col("g").alias("g2"), F.col("line").alias("line2"), F.col("rest").alias("rest2"))
         pairs = own.join(other, "key").where((F.col("h") != F.col("h2")) | (F.col("g") != F.col("g2")))
@@ -150,8 +187,9 @@ def near_lines(docs: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
         found.append(stored(pairs.distinct(), f"pairs-{level}"))
         if last:
             break
-        again = _keyed(rows.join(large, "key"), "rest", F.col("key"), edits)
-        again = again.select("key", "own", "h", "g", "line", "rest").distinct()
+        large = rows.join(groups.where("split").select("key"), "key")
+        large = large.join(_told_already(large, edits), "key", "left_anti")
+        again = _keyed(large, "rest", F.col("key"), edits).select(*columns).distinct()
         level += 1
         rows = stored(again, f"rows-{level}")
     out = reduce(lambda a, b: a.unionByName(b), found)
@@ -168,12 +206,13 @@ def _cut_lines(docs: DataFrame, edits: int) -> tuple[DataFrame, Column, Column,
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     near = near_lines(docs, edits)
-    firsts = stored(_lines(docs).groupBy("h", "g").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firsts")
+    lines = stored(_lines(docs).select("doc_id", "version", "pos", "h", "g"), "lines").withColumn("place", F.struct("doc_id", "pos"))
+    firsts = stored(lines.groupBy("h", "g").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firsts")
     others = near.join(firsts.select(F.col("h").alias("h2"), F.col("g").alias("g2"), "first"), ["h2", "g2"])
     others = stored(others.groupBy("h", "g").agg(F.min("first").alias("near")), "near")
     known = firsts.join(others, ["h", "g"], "left").where("n > 1 OR near < first")
     known = stored(known.select("h", "g", F.least("first", "near").alias("first")), "known")
-    gone = _lines(docs).select("doc_id", "version", "pos", "h", "g", "place").join(known, ["h", "g"]).where("place > first")
+    gone = lines.join(known, ["h", "g"]).where("place > first")
     gone = stored(gone.groupBy("doc_id", "version").agg(F.collect_set("pos").alias("gone")), "gone")
     same = (F.col("_in_doc_id") == F.col("doc_id")) & (F.xxhash64("_in_text") == F.col("version"))
     joined = set_aside(docs).join(gone, same, "left")
