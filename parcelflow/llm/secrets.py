@@ -13,7 +13,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +34,8 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 CONTEXTS = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth(?:orization)?|bearer|api[_\x20-]?key|access[_\x20-]?key|private[_\x20-]?key|client[_\x20-]?secret)"""
     r"""(?:[_\x20-]?(?:key|value|code|string|phrase|hash|text|data|number))*"""
-    r"""["']?\x20*([:=]+>?|\x20(?:is|was)\x20|\x20bearer\x20|\x20)\x20*(?:(?:bearer|basic)\x20+)?["']?([^\s"'<>,;]+)|://[^\s/:@]+:([^\s/@]+)@""",
+    # runs of spaces are taken whole, so that long ones are read once
+    r"""["']?\x20*+([:=]+>?|(?<=\x20)(?:is|was)\x20|(?<=\x20)bearer\x20|(?<=\x20))\x20*+(?:(?:bearer|basic)\x20++)?["']?([^\s"'<>,;]+)|://[^\s/:@]+:([^\s/@]+)@""",
     re.ASCII | re.IGNORECASE,
 )
 CONTEXT_WORDS = ("pass", "pwd", "pin", "secret", "token", "credential", "auth", "bearer", "key", "://")
@@ -128,7 +131,7 @@ def guess_bits(value: str) -> float:
 
 
 def _scored(value: str, separator: str | None) -> bool:
-    needed = PROSE.get((separator or ":").strip().lower() or " ")
+    needed = PROSE.get(":" if separator is None else separator.strip().lower() or " ")
     return len(value) >= GUESS_LEAST and (needed is None or needed.search(value) is not None)
 
 
@@ -142,11 +145,13 @@ def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
     base += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     added = []
     if low is None or any(w in low for w in CONTEXT_WORDS):
-        at = 0
+        at, ordered = 0, sorted(base)
+        starts, reach = [s for s, _, _ in ordered], list(accumulate((e for _, _, e in ordered), max))
         while m := CONTEXTS.search(text, at):
             start, end = m.span(2) if m[2] is not None else m.span(3)
             value = text[start:end].rstrip(".)")
-            covered = any(s <= start and start + len(value) <= e for s, _, e in base)
+            before = bisect_right(starts, start)
+            covered = before > 0 and start + len(value) <= reach[before - 1]
             found = not covered and _scored(value, m[1]) and guess_bits(value) >= GUESS_BITS
             if found:
                 added.append((start, 3, start + len(value)))

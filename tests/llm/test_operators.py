@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -329,6 +330,13 @@ def test_values_without_a_digit_are_scored(text, value):
     assert found_values(text.format("password")) == []
 
 
+@pytest.mark.parametrize("text", ["password" + " " * 10**6 + "\n", "token bearer" + " " * 10**6 + "\n", "password: " * 20_000, "pass" + " key" * 100_000, "://a" * 50_000])
+def test_long_runs_take_time_in_proportion(text):
+    start = time.process_time()
+    secrets.find_spans(text)
+    assert time.process_time() - start < 10
+
+
 def test_prose_after_a_keyword_is_no_secret():
     assert found_values("the token generated yesterday, the password is incorrect and the secret was Wonderful") == []
 
