@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -199,12 +200,22 @@ def _normal(data: np.ndarray, start: np.ndarray, rows: np.ndarray) -> tuple[np.n
     return out[keep], place
 
 
-CUT = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("anchor", pa.int64()), ("start", pa.int32()), ("words", pa.string())])
+CUT = pa.schema(
+    [("doc_id", pa.int64()), ("version", pa.int64()), ("anchor", pa.int64()), ("key", pa.int64()), ("start", pa.int32())]
+    + [("words", pa.string()), ("first", pa.int64()), ("n", pa.int64())]
+)
+CUT_COLUMNS = "doc_id long, version long, anchor long, key long, start int, words string, first long, n long"
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """The segments of each document whose anchors are among its repeated ones."""
+    """The segments of each document whose anchors are among its repeated ones.
+
+    Where each lies is one kind of row (doc_id, version, anchor, key, start).  What it says is
+    the other (anchor, key, words, first, n), once for all documents of a batch, with the least
+    document and how often it occurs.
+    """
     for batch in batches:
+        said: dict[tuple[int, int], list] = {}
         for part in slices(batch):
             found = words(part.column("text"))
             rows = found.rows
@@ -229,38 +240,61 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
                     anchor = int(anchors[begin : begin + 1].view(np.int64)[0])
                     for s in range(begin, end, SEGMENT_WINDOWS):
                         e = min(end, s + SEGMENT_WINDOWS)
-                        text = normal[from_[first + s] : to[first + e + window - 2]].tobytes().decode()
-                        out.append((doc_id, version, anchor, s, text))
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True) if out else [()] * 5, CUT, strict=True)], schema=CUT)
+                        text = normal[from_[first + s] : to[first + e + window - 2]].tobytes()
+                        key = int.from_bytes(xxhash.xxh64_digest(text), "little", signed=True)
+                        out.append((doc_id, version, anchor, key, s, None, None, None))
+                        known_as = said.setdefault((anchor, key), [text, doc_id, 0])
+                        known_as[1] = min(known_as[1], doc_id)
+                        known_as[2] += 1
+            yield _rows(out, CUT)
+        yield _rows([(None, None, anchor, key, None, text.decode(), first, n) for (anchor, key), (text, first, n) in said.items()], CUT)
+
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+MATCHED = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("firsts", pa.list_(pa.int64()))])
 
 
 def _match(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Shards of rows (anchor, words, first, n) sorted by anchor, each matched by its automaton."""
+    """Shards of rows (anchor, key, words, first, n) sorted by anchor and key, each matched by its automaton.
+
+    Rows of one segment come from several batches and are put together.  An anchor with one
+    segment has nothing to be matched with: all its windows are the segment's own.
+    """
 
-    def matched(shard: list[tuple]) -> pa.RecordBatch:
-        automaton = SuffixAutomaton()
-        sequences = [text.split(" ") for _, text, _, _ in shard]
-        for sequence, row in zip(sequences, shard, strict=True):
-            automaton.add(sequence, row[2])
+    def matched(shard: list[list]) -> pa.RecordBatch:
+        several = {a[0] for a, b in zip(shard, shard[1:], strict=False) if a[0] == b[0]}
+        automaton, out, sequences = SuffixAutomaton(), [], []
+        for anchor, key, text, first, n in shard:
+            if anchor in several:
+                sequences.append(text.split(" "))
+                automaton.add(sequences[-1], first)
+            elif n > 1:
+                out.append((anchor, key, [first] * (text.count(" ") + 2 - window)))
         automaton.close()
-        out = []
-        for sequence, (anchor, text, first, n) in zip(sequences, shard, strict=True):
+        rest = (row for row in shard if row[0] in several)
+        for sequence, (anchor, key, _, first, n) in zip(sequences, rest, strict=True):
             firsts = automaton.firsts(sequence, window)
             if n > 1 or min(firsts) < first:
-                out.append((anchor, text, firsts))
-        kinds = (pa.int64(), pa.string(), pa.list_(pa.int64()))
-        columns = zip(*out, strict=True) if out else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], ["anchor", "words", "firsts"])
+                out.append((anchor, key, firsts))
+        return _rows(out, MATCHED)
 
-    shard: list[tuple] = []
+    shard: list[list] = []
     size = 0
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "words", "first", "n")), strict=True):
+        for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "key", "words", "first", "n")), strict=True):
+            if shard and shard[-1][0] == row[0] and shard[-1][1] == row[1]:
+                shard[-1][3] = min(shard[-1][3], row[3])
+                shard[-1][4] += row[4]
+                continue
             if size >= SHARD_WORDS and row[0] != shard[-1][0]:
                 yield matched(shard)
                 shard, size = [], 0
-            shard.append(row)
-            size += row[1].count(" ") + 1
+            shard.append(list(row))
+            size += row[2].count(" ") + 1
     if shard:
         yield matched(shard)
 
@@ -313,28 +347,28 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
     met = rows.repartition("route").drop("route").sortWithinPartitions("lead", "anchor")
     hits = met.mapInArrow(_repeated, "doc_id long, anchor long").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
-    cut = texts.where("text IS NOT NULL").join(hits, "doc_id").mapInArrow(
-        lambda it: _cut(it, window), "doc_id long, version long, anchor long, start int, words string"
-    )
-    found = stored(cut, "cut")
-    distinct = stored(found.groupBy("anchor", "words").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "segments")
-    crowded = stored(distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > ANCHOR_SEGMENTS).select("anchor"), "crowded")
+    cut = texts.where("text IS NOT NULL").join(hits, "doc_id").mapInArrow(lambda it: _cut(it, window), CUT_COLUMNS)
+    cut = stored(cut, "cut")
+    found = cut.where("words IS NULL").select("doc_id", "version", "anchor", "key", "start")
+    said = cut.where("words IS NOT NULL").select("anchor", "key", "words", "first", "n")
+    segments = said.select("anchor", "key").distinct().groupBy("anchor").agg(F.count("*").alias("n"))
+    crowded = stored(segments.where(F.col("n") > ANCHOR_SEGMENTS).select("anchor"), "crowded")
     some_crowded = not crowded.isEmpty()
 
-    quiet = distinct.join(crowded, "anchor", "left_anti") if some_crowded else distinct
-    shards = quiet.repartition("anchor").sortWithinPartitions("anchor", "words")
-    matched = shards.mapInArrow(lambda it: _match(it, window), "anchor long, words string, firsts array<long>")
-    matched = stored(matched.select("anchor", F.xxhash64("words").alias("key"), "firsts"), "matched")
-    keyed = found.select("doc_id", "version", "anchor", "start", F.xxhash64("words").alias("key"))
+    quiet = said.join(crowded, "anchor", "left_anti") if some_crowded else said
+    shards = quiet.repartition("anchor").sortWithinPartitions("anchor", "key")
+    matched = stored(shards.mapInArrow(lambda it: _match(it, window), "anchor long, key long, firsts array<long>"), "matched")
     starts = F.filter(F.transform("firsts", lambda first, i: F.when(first < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull())
-    spans = keyed.join(matched, ["anchor", "key"]).select("doc_id", "version", starts.alias("starts"))
+    spans = found.join(matched, ["anchor", "key"]).select("doc_id", "version", starts.alias("starts"))
 
     if some_crowded:
         split = F.split("words", " ")
         each = F.transform(F.sequence(F.lit(0), F.size(split) - window), lambda i: F.concat_ws(" ", F.slice(split, i + 1, window)))
-        single = distinct.join(crowded, "anchor", "left_semi").select("first", F.explode(each).alias("words"))
+        told = said.join(crowded, "anchor", "left_semi").groupBy("anchor", "key").agg(F.min(F.struct("words", "first")).alias("t"))
+        told = stored(told.select("anchor", "key", "t.*"), "told")
+        single = told.select("first", F.explode(each).alias("words"))
         single = stored(single.groupBy("words").agg(F.min("first").alias("first")), "windows")
-        own = found.join(crowded, "anchor", "left_semi").select("doc_id", "version", "start", F.posexplode(each).alias("i", "words"))
+        own = found.join(told.drop("first"), ["anchor", "key"]).select("doc_id", "version", "start", F.posexplode(each).alias("i", "words"))
         own = own.join(single, "words").where("first < doc_id")
         spans = spans.unionByName(own.select("doc_id", "version", F.array(F.col("start") + F.col("i")).alias("starts")))
 
