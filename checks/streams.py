@@ -98,7 +98,7 @@ def stream_fanout(spark, sf_dir):
 def stream_dim_upsert(spark, sf_dir):
     folder = work_dir(spark, "stream-dim-upsert")
     changes = decode_changes(feed_in_steps(spark, folder, feeds.change_feed(table(spark, sf_dir, "events"))))
-    job = jobs.dimension_job(changes, lambda: feeds.buyer_config(spark), f"{folder}/dims", f"{folder}/checkpoint")
+    job = jobs.dimension_job(changes, lambda: feeds.buyer_config(spark), f"{folder}/dims", f"{folder}/checkpoint", buckets=4)
     run_to_end(spark, job)
     buyers = read_dimension(spark, f"{folder}/dims", "dim_buyer", "user_id", ["user_id", "event_id", "value"])
     return buyers.withColumn("value", F.col("value").cast("decimal(16,2)"))

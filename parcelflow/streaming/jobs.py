@@ -24,7 +24,7 @@ from parcelflow.plans.dimensions import changed_keys, route_dimensions
 from parcelflow.plans.marts import ALL_MARTS, Dimensions, Mart, at_grain, finish
 from parcelflow.plans.refresh import changed_ids, renamed
 from parcelflow.session import written
-from parcelflow.sources.sinks import BatchWriter, append_mart, fan_out_to_folders, read_mart, stream_to_folder, stream_to_topic, upsert_dimensions
+from parcelflow.sources.sinks import DIMENSION_BUCKETS, BatchWriter, append_mart, fan_out_to_folders, read_mart, stream_to_folder, stream_to_topic, upsert_dimensions
 from parcelflow.sources.store import BucketStore, publish_batch
 from parcelflow.streaming.metrics import CAPTURE
 from parcelflow.streaming.operators import daily_totals_stream
@@ -70,10 +70,10 @@ def each_batch(df: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "
 
 
 def dimension_job(
-    changes: DataFrame, config: Callable[[], DataFrame], path: str, checkpoint: str, apply_deletes: bool = False
+    changes: DataFrame, config: Callable[[], DataFrame], path: str, checkpoint: str, apply_deletes: bool = False, buckets: int = DIMENSION_BUCKETS
 ) -> DataStreamWriter:
     """Dimension changes -> upserts, under the routing config in force at each batch."""
-    upsert = upsert_dimensions(path)
+    upsert = upsert_dimensions(path, buckets)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         upsert(route_dimensions(batch, config(), apply_deletes=apply_deletes), batch_id)
