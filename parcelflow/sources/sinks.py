@@ -72,10 +72,13 @@ def _replace_batch(rows: DataFrame, batch_id: int, path: str, *columns: str) ->
 
 
 def fan_out_to_folders(path: str, column: str = "fact_type") -> BatchWriter:
-    """Mixed facts -> one folder per fact and batch, all published in a single move."""
+    """Mixed facts -> one folder per fact and batch, all published in a single move.
+
+    The files of a fact follow one another in its time ``ts``, for the marts behind.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        publish_batch(batch, batch_id, path, column)
+        publish_batch(batch, batch_id, path, column, in_time="ts" if "ts" in batch.columns else None)
 
     return write
 

@@ -4,7 +4,8 @@ A micro-batch may be tried again after a failure.  What a first try made visible
 read by another job already, so a second try must not add to it or change it:
 
 * :func:`publish_batch` writes beside the table and moves the whole batch into place in one
-  rename; a batch that is already there stays as it is.
+  rename; a batch that is already there stays as it is.  A job behind may take up the files of a
+  batch a few at a time, so with ``in_time`` they follow one another in event time.
 * :class:`BucketStore` keeps one current row per key.  A version lists the folder of every
   bucket; a batch writes the buckets that it touches anew and then names the new version, which
   readers see at once.  The version remembers the batch, so a second try changes nothing.
@@ -16,12 +17,14 @@ from __future__ import annotations
 
 import json
 import os
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.operators.latest import latest_by
+from parcelflow.session import written
 
 STAGING = "_staging"
 BATCH = "batch_id"
@@ -54,6 +57,20 @@ class Files:
             self._fs.mkdirs(parent)
         return bool(self._fs.rename(self.path(source), self.path(target)))
 
+    def put_in_turn(self, folder: str) -> None:
+        """Give the data files below ``folder`` times of modification in the order of their names, a millisecond apart.
+
+        Returns when the clock has passed the last of them, so files of a later call come after.
+        """
+        listed, found = self._fs.listFiles(self.path(folder), True), []
+        while listed.hasNext():
+            found.append(listed.next().getPath())
+        found = sorted((p for p in found if p.getName().startswith("part-")), key=lambda p: p.getName())
+        start = int(time.time() * 1000)
+        for i, path in enumerate(found):
+            self._fs.setTimes(path, start + i, -1)
+        time.sleep(max(0, start + len(found) + 1 - time.time() * 1000) / 1000)
+
     def drop(self, name: str) -> None:
         self._fs.delete(self.path(name), True)
 
@@ -72,21 +89,34 @@ class Files:
             stream.close()
 
 
-def publish_batch(rows: DataFrame, batch_id: int, path: str, *columns: str, as_laid: bool = False) -> bool:
+def publish_batch(rows: DataFrame, batch_id: int, path: str, *columns: str, as_laid: bool = False, in_time: str | None = None) -> bool:
     """Make a batch visible below ``path`` as ``batch_id=.../<columns>``, all of it at once.
 
     Returns False, and leaves the table alone, if the batch has been published before.  The
     rebalance gives each folder few files of moderate size: small ones are merged, and a folder
     with most of the rows is split over several tasks.  ``as_laid`` leaves the rows where
     and in which order they are; they have to be sorted by ``columns`` first.
+
+    ``in_time`` names the event time of rows that a stream with a watermark reads.  Spark's file
+    source takes files up in order of modification and may cut a batch between any two.  Were
+    each file a mix of the batch, the first ones would move the watermark past rows of the rest.
+    So the files are ranges of event time, modified in that order: wherever the batch is cut, no
+    row is later than it was in the batch as a whole.
     """
     files = Files(rows.sparkSession, path)
     target, staged = f"{path}/{BATCH}={batch_id}", f"{path}/{STAGING}/{batch_id}-{os.urandom(6).hex()}"
     if files.exists(target):
         return False
     kept = rows.drop(BATCH)
-    kept = kept if as_laid else kept.hint("rebalance", *[F.col(c) for c in columns])
+    if in_time is not None:
+        # dealing into ranges reads the rows twice; the hash spreads a burst of one instant
+        by = [*columns, in_time]
+        kept = written(kept, "batch").repartitionByRange(*by, F.xxhash64(*kept.columns)).sortWithinPartitions(*by)
+    elif not as_laid:
+        kept = kept.hint("rebalance", *[F.col(c) for c in columns])
     kept.write.partitionBy(*columns).parquet(staged)
+    if in_time is not None:
+        files.put_in_turn(staged)
     if files.move(staged, target):
         return True
     files.drop(staged)

@@ -134,7 +134,7 @@ def mart_key_job(facts: DataFrame, mart: Mart, dims: DimensionReader, path: str,
         raise ValueError(f"{mart.table} has its key in the fact; start mart_job on the facts")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        publish_batch(mart.before(batch, dims()), batch_id, path)
+        publish_batch(mart.before(batch, dims()), batch_id, path, in_time="ts")
 
     return each_batch(at_grain(facts, mart), write, checkpoint)
 

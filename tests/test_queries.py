@@ -60,6 +60,13 @@ def test_lookups_survive_without_broadcast(spark, con):
             assert good, note
 
 
+def test_batches_handed_on_in_several_files_lose_nothing(spark, con):
+    """Files read one by one, as on larger tables: no file of a batch makes the rows of another late."""
+    with conf_scope(spark, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}):
+        good, note = compare(spark, con, SF, "stream_mart_keyed_final")
+    assert good, note
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     plan = entry.queries()["mart_bound_finish_day"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_linestatus,F)" in plan

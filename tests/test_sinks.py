@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.plans import dimensions
 from parcelflow.plans.marts import ALL_MARTS
-from parcelflow.session import work_dir
+from parcelflow.session import conf_scope, work_dir
 from parcelflow.sources import sinks
 from parcelflow.sources.readers import facts_from_topic
 from parcelflow.sources.schemas import DIMENSION_TABLES, FACT_TABLES, FACTS, MARTS, camel, written_fields
@@ -94,6 +94,18 @@ def test_published_batches_stay_as_they_are(spark):
     assert Files(spark, path).names(f"{path}/_staging") == []
 
 
+def test_files_of_a_batch_follow_one_another_in_time(spark, tmp_path):
+    rows = spark.range(600).select((F.col("id") * 7919 % 600).alias("ts"), (F.col("id") % 2).alias("kind"), F.lit("x" * 20).alias("more"))
+    burst = spark.range(300).select(F.lit(600).alias("ts"), F.lit(0).alias("kind"), F.col("id").cast("string").alias("more"))
+    with conf_scope(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}):
+        for batch, more in enumerate((rows, rows.withColumn("ts", F.col("ts") + 600).unionByName(burst))):
+            assert publish_batch(more.repartition(5), batch, f"{tmp_path}/t", "kind", in_time="ts")
+    files = sorted((tmp_path / "t").rglob("kind=0/*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+    assert len({f.stat().st_mtime_ns // 1_000_000 for f in files}) == len(files) > 6
+    spans = [spark.read.parquet(str(f)).agg(F.min("ts"), F.max("ts")).first() for f in files]
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:])) and spark.read.parquet(f"{tmp_path}/t").count() == 1500
+
+
 def test_create_dimensions(spark):
     config = spark.createDataFrame(
         [("a", "dim_made_a", None, "id,name", "id", None), ("b", "dim_made_b", "wide", "name,code", "code", None)],
