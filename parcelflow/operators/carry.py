@@ -5,8 +5,8 @@ counted first (one long per key and task travels).  If no key exceeds ``hot_rows
 plain window is used.  Otherwise the rows of hot keys are dealt into ranges of (key, order)
 and numbered there, and every ``hot_rows`` of them make a slice: windows run inside a slice,
 and what a slice inherits is the last value of the key's slices before it, taken from one
-summary row per slice.  Slices follow the rows, not the clock, so a burst is cut as finely
-as any other stretch, ties included.
+summary row per slice and put in front of its rows.  Slices follow the rows, not the clock,
+so a burst is cut as finely as any other stretch, ties included.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ def slice_hot_keys(df: DataFrame, key: str, order: str | list[str], hot_rows: in
     back as it is.  No slice has more than ``hot_rows`` rows.  A null key is a key like any
     other.  At most ``rows / hot_rows`` keys can be hot, which bounds
     what is broadcast.  The sliced rows are written out once, as several branches read them.
+    ``df`` itself is read for the count and, with a hot key, several times more: hand in rows
+    that are stored, or made of stored ones by narrow steps.
     """
     if hot_rows is None:
         return df
@@ -35,7 +37,7 @@ def slice_hot_keys(df: DataFrame, key: str, order: str | list[str], hot_rows: in
     if total is None:
         return df
     by = [order] if isinstance(order, str) else order
-    hot = F.broadcast(hot.select(F.col(key).alias("_hot")))
+    hot = F.broadcast(written(hot.select(F.col(key).alias("_hot")), "hot-keys"))
     same = F.col(key).eqNullSafe(F.col("_hot"))
     parts = min(-(-total // hot_rows), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = df.join(hot, same, "left_semi").repartitionByRange(parts, key, *by).sortWithinPartitions(key, *by)
@@ -55,23 +57,20 @@ def carry_last(history: DataFrame, key: str, order: list[str], value: Column, na
     history = history.withColumn("_value", value)
     sliced = SLICE in history.columns
     part = [key, SLICE] if sliced else [key]
-    window = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    within = history.withColumn(name, F.last("_value", ignorenulls=True).over(window)).drop("_value")
+    window = Window.partitionBy(*part).rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last("_value", ignorenulls=True)
     if not sliced:
-        return within
+        return history.withColumn(name, last.over(window.orderBy(*order))).drop("_value")
     tails = (
         history.where(F.col(SLICE) > 0)
         .groupBy(key, SLICE)
-        .agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.struct(*order))).alias("_tail"))
+        .agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.struct(*order))).alias("_value"))
     )
+    # what a slice inherits stands in front of its rows, so rows are dealt out once and joined with nothing
     earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    last = F.last("_tail", ignorenulls=True).over(earlier)
-    inherited = tails.select(F.col(key).alias("_key"), F.col(SLICE).alias("_at"), last.alias("_inherited"))
-    return (
-        within.join(inherited, F.col(key).eqNullSafe(F.col("_key")) & (F.col(SLICE) == F.col("_at")), "left")
-        .withColumn(name, F.coalesce(F.col(name), F.col("_inherited")))
-        .drop("_inherited", "_key", "_at")
-    )
+    inherited = tails.withColumn("_value", last.over(earlier)).where(F.col("_value").isNotNull()).withColumn("_own", F.lit(False))
+    rows = history.withColumn("_own", F.lit(True)).unionByName(inherited, allowMissingColumns=True)
+    return rows.withColumn(name, last.over(window.orderBy("_own", *order))).where("_own").drop("_value", "_own")
 
 
 def previous(df: DataFrame, key: str, order: list[str], value: Column, name: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:

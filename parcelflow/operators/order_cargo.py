@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.operators.carry import HOT_ROWS, carry_last, slice_hot_keys
 from parcelflow.operators.transitions import Lifecycle
+from parcelflow.session import written
 
 # Fixed value: how long an order waits for its cargo.
 ORDER_WAIT_MS = 5_000
@@ -96,8 +97,13 @@ def pair_orders_with_cargo(
     An order's *creation* gives the created fact if cargo is known; else it waits, and
     cargo arriving within ``wait_ms`` gives the fact (each cargo anew).  A *status
     change* gives its fact if cargo is known.  A closing fact forgets the cargo.
+
+    With ``hot_rows`` the events that matter are written out once, so that counting and slicing
+    them does not parse them anew.
     """
-    return _paired(_history(relevant_events(events, lifecycle), None, lifecycle, hot_rows), lifecycle, wait_ms)
+    relevant = relevant_events(events, lifecycle)
+    relevant = relevant if hot_rows is None else written(relevant, "order-events")
+    return _paired(_history(relevant, None, lifecycle, hot_rows), lifecycle, wait_ms)
 
 
 def pair_batch(

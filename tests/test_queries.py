@@ -84,6 +84,24 @@ def test_pairing_shuffles_once(spark):
     assert plan.count("Exchange hashpartitioning(key") == 1 and plan.count("Exchange") == 1
 
 
+def test_hot_keys_are_decoded_once(spark):
+    from parcelflow.plans import facts
+
+    raw = feeds.order_feed(feeds.table(spark, SF, "events"))
+    path = f"{work_dir(spark, 'hot')}/feed"
+    raw.write.parquet(path)
+    stored, seen = spark.read.schema(raw.schema).parquet(path), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    made = facts.order_facts(facts.decode_order_changes(stored.withColumn("value", counted("value"))), hot_rows=20)
+    assert len(made.collect()) > 0 and seen.value == stored.count()
+    assert "Join" not in plan_of(made).replace("BroadcastHashJoin", "")  # no join deals the rows out again
+
+
 def test_totals_are_reduced_before_the_shuffle(spark):
     rows = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("ts"))
     plan = plan_of(partial_totals(rows, ["k"], {"n": None}))
